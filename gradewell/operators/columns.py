@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,10 @@ def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def all_present(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [quoted(c).isNotNull() for c in cols])
+
+
 def select_cols(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """The named columns, each once, in the given order."""
     return df.select(*[quoted(n) for n in dict.fromkeys(names)])

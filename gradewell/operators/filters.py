@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradewell.functions.dates import in_lookback
-from gradewell.operators.columns import quoted
+from gradewell.operators.columns import all_present, quoted
 
 
 def require(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.na.drop(subset=list(cols))
+    """Rows where none of ``cols`` is NULL, as a predicate the scan can use."""
+    return df.where(all_present(cols))
 
 
 def exclude_matching(df: DataFrame, col: str, words: Sequence[str]) -> DataFrame:

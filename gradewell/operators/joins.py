@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradewell.operators.columns import quoted
+from gradewell.operators.columns import all_present
 
 # Largest number of rows one key may bring to one task.
 MAX_ROWS = 2_000_000
@@ -46,7 +46,7 @@ def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
     """Keys with more than ``max_rows`` rows and the number of salts each needs."""
-    counted = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counted = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return counted.where(F.col("__n") > max_rows).select(
         *keys, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__salts")
     )
@@ -68,7 +68,7 @@ def lookup_join(
     hot = F.broadcast(hot_keys(left, on, max_rows) if hot is None else hot)
     # Rows without a key match nothing; they keep their own spread.
     salt = (
-        F.when(~_all_present(on), F.pmod(F.spark_partition_id(), F.lit(1024)))
+        F.when(~all_present(on), F.pmod(F.spark_partition_id(), F.lit(1024)))
         .when(F.col("__salts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("__salts")))
         .otherwise(0)
     )
@@ -149,6 +149,3 @@ def join_suffixed(
 
     return lookup_join(marked(left, suffixes[0]), marked(right, suffixes[1]), on, how, **safety)
 
-
-def _all_present(keys: Sequence[str]):
-    return reduce(lambda a, b: a & b, [quoted(k).isNotNull() for k in keys])

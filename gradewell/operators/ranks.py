@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradewell.operators.columns import quoted
+from gradewell.operators.columns import all_present, quoted
 from gradewell.operators.filters import require
 from gradewell.operators.groups import attach, group_stats
 from gradewell.operators.joins import (
@@ -40,6 +40,8 @@ def groups_fit(df: DataFrame, keys: Sequence[str], max_rows: int, one_task_bytes
 def pct_rank(c: Column | str, keys: Sequence[str]) -> Column:
     """Average rank of ties over the number of known values, times 100.
 
+    A row without a value or without a group has no rank.
+
     With the default range frame, ``count`` over an ordered window is the last
     rank of a tie, so the average rank is the mean of it and ``rank``.
     """
@@ -47,7 +49,8 @@ def pct_rank(c: Column | str, keys: Sequence[str]) -> Column:
     group = Window.partitionBy(*[quoted(k) for k in keys])
     ordered = group.orderBy(value.asc_nulls_last())
     mean_rank = (F.rank().over(ordered) + F.count(value).over(ordered)) / F.lit(2.0)
-    return F.when(value.isNotNull(), mean_rank / F.count(value).over(group) * F.lit(100.0))
+    known = value.isNotNull() & all_present(keys)
+    return F.when(known, mean_rank / F.count(value).over(group) * F.lit(100.0))
 
 
 def attach_pct_rank(
@@ -145,7 +148,10 @@ def attach_lag(
     by = [quoted(c).asc_nulls_first() for c in order]
 
     def earlier(window) -> dict[str, Column]:
-        return {new: F.lag(quoted(c), n).over(window) for new, (c, n) in lags.items()}
+        return {
+            new: F.when(quoted(key).isNotNull(), F.lag(quoted(c), n).over(window))
+            for new, (c, n) in lags.items()
+        }
 
     if groups_fit(df, [key], max_rows, one_task_bytes):
         return df.withColumns(earlier(Window.partitionBy(quoted(key)).orderBy(*by)))

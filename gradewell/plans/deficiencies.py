@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from gradewell.functions.dates import compact_date
 from gradewell.functions.flags import decode, present
 from gradewell.functions.text import pad_code, tag_code
-from gradewell.operators.columns import rename, select_cols
+from gradewell.operators.columns import normalize_headers, rename, select_cols, union_all
 from gradewell.operators.filters import distinct_keys, in_cycle_windows, require
 from gradewell.operators.groups import attach, group_stats
 from gradewell.operators.joins import lookup_join
 from gradewell.operators.picks import attach_other, dedup, first_per_group, rows_of_latest
-from gradewell.operators.columns import union_all
 from gradewell.specs.tags import tag_lists
 
 # Input headers of the two sources (fixed values).
@@ -59,7 +58,7 @@ def latest_findings(source: DataFrame, names: dict[str, str], rank: int) -> Data
 def surveyed_providers(survey: DataFrame, zip_county: DataFrame) -> DataFrame:
     """One row per provider whose zip code has a county."""
     zips = distinct_keys(zip_county.select(pad_code("zip_code", 5).alias("zip")), "zip")
-    providers = survey.select(
+    providers = normalize_headers(survey).select(
         pad_code("cms_certification_number_ccn", 6).alias("PRVDR_NUM"),
         "provider_name",
         "address",

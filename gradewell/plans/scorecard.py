@@ -23,11 +23,11 @@ from gradewell.operators.columns import (
     scale,
     select_cols,
 )
-from gradewell.operators.filters import require
-from gradewell.operators.groups import attach, attach_rate, group_stats, total
+from gradewell.operators.filters import allow, require
+from gradewell.operators.groups import attach, group_stats, share, total
 from gradewell.operators.joins import star_join
 from gradewell.operators.picks import dedup
-from gradewell.operators.ranks import attach_median, attach_pct_rank
+from gradewell.operators.ranks import attach_pct_rank
 from gradewell.plans.allegations import latest_allegations
 from gradewell.plans.certifications import latest_certifications
 from gradewell.plans.deficiencies import deficiency_rows, deficiency_summary
@@ -218,80 +218,106 @@ def add_scores(df: DataFrame, outcomes: Mapping[str, Outcome] = OUTCOMES) -> Dat
     return df
 
 
-def add_state_stats(df: DataFrame) -> DataFrame:
-    """State medians, ranks and shares. Counted per served county, as the table is."""
-    df = attach_median(
-        df, ["state"], {f"oe_{o}_state_median": f"oe_{o}_estimate" for o in OUTCOMES}
-    )
-    df = attach_pct_rank(df, ["state"], {m.state_rank: m.name for m in MEASURES})
-    df = attach(df, ["state"], {f"{name}_sum": total(flag) for name, flag in SHARES.items()})
-    return attach_rate(
-        df, ["state"], {f"{name}_state_mean": flag for name, flag in SHARES.items()}
+def add_state_stats(scored: DataFrame) -> DataFrame:
+    """State ranks, medians and shares. Counted per served county, as the table is."""
+    medians = {f"oe_{o}_state_median": f"oe_{o}_estimate" for o in OUTCOMES}
+    shares = {
+        **{f"{name}_sum": total(flag) for name, flag in SHARES.items()},
+        **{f"{name}_state_mean": share(flag) for name, flag in SHARES.items()},
+    }
+    df = attach_pct_rank(scored, ["state"], {m.state_rank: m.name for m in MEASURES})
+    # An estimate takes at most nine values, so the medians' value maps stay small.
+    return attach(
+        df,
+        ["state"],
+        {**shares, **{name: F.median(c) for name, c in medians.items()}},
+        source=scored,
     )
 
 
-def add_county_stats(df: DataFrame) -> DataFrame:
-    """County ranks where the county has at least 40 providers, and county shares."""
+def add_county_ranks(df: DataFrame) -> DataFrame:
+    """County ranks where the county has at least 40 providers; one row per county and provider."""
     df = attach_pct_rank(
         df,
         ["County_ID"],
         {m.county_rank: m.name for m in MEASURES},
         min_size=("County_count", MIN_COUNTY),
     )
-    df = dedup(df, ["County_ID", CCN], ["CRTFCTN_DT", "provider_name", "address", "zip_code"])
-    df = attach_rate(
-        df, ["County_ID"], {f"{name}_county_mean": flag for name, flag in SHARES.items()}
-    )
+    return dedup(df, ["County_ID", CCN], ["CRTFCTN_DT", "provider_name", "address", "zip_code"])
+
+
+def add_county_shares(ranked: DataFrame) -> DataFrame:
+    shares = {f"{name}_county_mean": share(flag) for name, flag in SHARES.items()}
     means = {
         f"{name}_{end}_mean": F.avg(f"{name}_{end}_binary")
         for name in SURVEY_FLAGS
         for end in ("high", "low")
     }
-    return attach(df, ["County_ID"], means)
+    return attach(ranked, ["County_ID"], {**shares, **means})
 
 
 def add_letters(df: DataFrame) -> DataFrame:
-    """State percentiles of the score differences and the letters of all ranks."""
+    """State percentiles of the score differences and their letters."""
     df = attach_pct_rank(
         df,
         ["state"],
         {spec.percentile: f"pred_{o}_diff" for o, spec in OUTCOMES.items()},
         rounded=False,
     )
-    letters = {
-        spec.letter: scoring.clamp_letter(
-            scoring.letter_grade(spec.percentile), spec.small_flag
-        )
-        for spec in OUTCOMES.values()
-    }
     return derive(
         df,
         {
-            **letters,
-            "qm_urgent_care_no_hosp_rank": scoring.letter_grade(
-                "qm_urgent_care_norehosp_county_ptile"
-            ),
-            "qm_hosp_admit_ptile_rank": scoring.letter_grade("qm_admit_hosp_county_ptile"),
+            spec.letter: scoring.clamp_letter(
+                scoring.letter_grade(spec.percentile), spec.small_flag
+            )
+            for spec in OUTCOMES.values()
         },
     )
 
 
-def letter_mean(df: DataFrame, letter: str, value: str, name: str) -> DataFrame:
+def letter_mean(
+    df: DataFrame, letter: str, value: str, name: str, source: DataFrame | None = None
+) -> DataFrame:
     """National mean of ``value`` per letter on every row.
 
     Letters are a closed set of six, so their means can always be broadcast.
     """
-    means = group_stats(df, [letter], {name: F.avg(value)})
+    means = group_stats(df if source is None else source, [letter], {name: F.avg(value)})
     return df.join(F.broadcast(means), letter, "left")
 
 
-def add_rates(df: DataFrame) -> DataFrame:
+def letter_means(ranked: DataFrame) -> DataFrame:
+    """Mean estimate per outcome and letter, at most 9 x 6 rows.
+
+    Reads only the state, the score differences, the estimates and the
+    small-volume flags of the ranked table.
+    """
+    needed = {"state"}
+    for o, spec in OUTCOMES.items():
+        needed |= {f"pred_{o}_diff", f"oe_{o}_estimate", spec.small_flag}
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(o).alias("outcome"),
+                F.col(spec.letter).alias("letter"),
+                F.col(f"oe_{o}_estimate").alias("estimate"),
+            )
+            for o, spec in OUTCOMES.items()
+        ]
+    )
+    graded = add_letters(ranked.select(*sorted(needed))).select(F.inline(pairs))
+    return group_stats(graded, ["outcome", "letter"], {"mean": F.avg("estimate")})
+
+
+def add_rates(df: DataFrame, means: DataFrame) -> DataFrame:
     """Expected rates: letter mean and state median times the base rate."""
     out = df
-    for o, spec in OUTCOMES.items():
-        out = letter_mean(out, spec.letter, f"oe_{o}_estimate", f"oe_{o}_mean")
     rates = {}
     for o, spec in OUTCOMES.items():
+        mine = means.where(F.col("outcome") == o).select(
+            F.col("letter").alias(spec.letter), F.col("mean").alias(f"oe_{o}_mean")
+        )
+        out = out.join(F.broadcast(mine), spec.letter, "left")
         rates[f"{spec.rates}_comp_rate"] = F.col(f"oe_{o}_mean") * F.lit(spec.letter_base)
         rates[f"{spec.rates}_state_rate"] = F.col(f"oe_{o}_state_median") * F.lit(spec.state_base)
     return derive(out, rates)
@@ -301,6 +327,8 @@ def add_published_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
     answers = {name: yes_no(col, "NOT PROVIDED") for name, col in SERVICE_ANSWERS.items()}
     texts = {
         "Ownership_Type": decode_contains("type_of_ownership", OWNERSHIP, "N/A"),
+        "qm_urgent_care_no_hosp_rank": scoring.letter_grade("qm_urgent_care_norehosp_county_ptile"),
+        "qm_hosp_admit_ptile_rank": scoring.letter_grade("qm_admit_hosp_county_ptile"),
         "qm_pac_urgent_care_no_hosp_rank": decode(quoted(EMERGENCY_HEADER), COMPARISONS, "N/A"),
         "qm_pac_hosp_admitt_rank": decode(quoted(READMITTED_HEADER), COMPARISONS, "N/A"),
         "CMS_ID": F.concat(F.lit("'"), F.col(CCN)),
@@ -328,15 +356,15 @@ def add_published_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
 def full_table(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
     """Every column of the scorecard.
 
-    Two tables are pinned: the scored rows, which the state and county
-    statistics read column by column, and the graded rows, which nine letter
-    means and both extracts read.
+    The scored rows and the ranked rows are pinned, because the statistics read
+    them again, a few columns at a time; so are the few letter means.
     """
     scored = pin(add_scores(add_flags(joined_rows(tables, asof))))
-    ranked = add_state_stats(scored)
-    ranked = scale(ranked, [m.name for m in MEASURES], 100)
-    graded = pin(add_letters(add_county_stats(ranked)))
-    return add_published_text(add_rates(graded), asof)
+    ranked = add_county_ranks(add_state_stats(scored))
+    ranked = pin(scale(ranked, [m.name for m in MEASURES], 100))
+    means = pin(letter_means(ranked))
+    full = add_rates(add_letters(add_county_shares(ranked)), means)
+    return add_published_text(full, asof)
 
 
 def scorecard(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
@@ -349,13 +377,15 @@ def network(full: DataFrame) -> DataFrame:
 
 def publish(full: DataFrame, folder: str) -> None:
     """Both extracts, one folder of sorted CSV files per published state."""
+    columns = [*SCORECARD_COLUMNS, *NETWORK_COLUMNS]
+    rows = pin(allow(select_cols(full, columns), "state", STATES))
     write_by(
-        select_cols(full, SCORECARD_COLUMNS),
+        select_cols(rows, SCORECARD_COLUMNS),
         "state",
         STATES,
         f"{folder}/scorecard",
         ["Ecosystem_Name", "provider_name", "CMS_ID"],
     )
     write_by(
-        network(full), "state", STATES, f"{folder}/network", ["county", "provider_name", "CMS_ID"]
+        network(rows), "state", STATES, f"{folder}/network", ["county", "provider_name", "CMS_ID"]
     )

@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Codegen stays on for the widest scorecard rows (about 300 columns).
-    "spark.sql.codegen.maxFields": "400",
 }
 
 
