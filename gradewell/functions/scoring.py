@@ -19,25 +19,21 @@ ALL_LETTERS = ("A", "B", "C", "D", "E", "N/A")
 
 def linear_score(betas: Mapping[str, float], intercept: float) -> Column:
     """Weighted sum; NULL when any predictor is NULL."""
-    total = F.lit(float(intercept))
-    for name, beta in betas.items():
-        total = total + F.col(name) * F.lit(float(beta))
-    return total
+    terms = [f"{float(intercept)!r}D", *[f"{name} * {float(b)!r}D" for name, b in betas.items()]]
+    return F.expr(" + ".join(terms))
 
 
 def logistic(z: Column | str) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-column(z)))
 
 
-def bin_by(value: Column | str, breaks: Sequence[float], step: int = 5) -> Column:
+def bin_by(name: str, breaks: Sequence[float], step: int = 5) -> Column:
     """Left-open, right-closed bins labelled step, 2*step, ...; NULL gives 0.
 
     The label follows from how many breaks lie below the value.
     """
-    passed = F.lit(1)
-    for b in breaks:
-        passed = passed + (column(value) > F.lit(float(b))).cast("int")
-    return F.coalesce(passed * F.lit(step), F.lit(0)).cast("double")
+    passed = " + ".join(f"int({name} > {float(b)!r}D)" for b in breaks)
+    return F.expr(f"coalesce({step}D * (1 + {passed}), 0D)")
 
 
 def shrink(percentile: Column | str, small: Column | str) -> Column:

@@ -15,13 +15,7 @@ from pyspark.sql import functions as F
 
 from gradewell.operators.columns import quoted
 from gradewell.operators.filters import require
-from gradewell.operators.joins import (
-    MAX_ROWS,
-    ONE_TASK_BYTES,
-    fits_one_task,
-    hot_keys,
-    lookup_join,
-)
+from gradewell.operators.joins import fits_one_task, hot_keys, lookup_join
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -45,8 +39,6 @@ def attach(
     keys: Sequence[str],
     aggs: Mapping[str, Column],
     source: DataFrame | None = None,
-    max_rows: int = MAX_ROWS,
-    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Every row with its group's aggregates.
 
@@ -54,9 +46,8 @@ def attach(
     for use in chains; without it ``df`` is read again.
     """
     base = df if source is None else source
-    hot = None if fits_one_task(df, one_task_bytes) else hot_keys(base, keys, max_rows)
-    stats = group_stats(base, keys, aggs)
-    return lookup_join(df, stats, keys, "left", max_rows, one_task_bytes, hot)
+    hot = None if fits_one_task(df) else hot_keys(base, keys)
+    return lookup_join(df, group_stats(base, keys, aggs), keys, "left", hot)
 
 
 def total(col: Column | str) -> Column:
@@ -70,11 +61,9 @@ def share(flag: str) -> Column:
     return F.try_divide(total(flag), F.count(F.lit(1)))
 
 
-def attach_rate(
-    df: DataFrame, keys: Sequence[str], flags: Mapping[str, str], **safety
-) -> DataFrame:
+def attach_rate(df: DataFrame, keys: Sequence[str], flags: Mapping[str, str]) -> DataFrame:
     """Share of each 0/1 flag within the group's rows, on every row."""
-    return attach(df, keys, {name: share(flag) for name, flag in flags.items()}, **safety)
+    return attach(df, keys, {name: share(flag) for name, flag in flags.items()})
 
 
 def category_counts(

@@ -2,10 +2,10 @@
 
 ``lookup_join`` is the work horse. The left side may have hot keys; the right
 side is a table of at most a few rows per key (group statistics, ranks,
-per-provider summaries). Keys with more than ``max_rows`` left rows are found by
-a partial count; there can be no more than ``rows / max_rows`` of them, which
+per-provider summaries). Keys with more than ``MAX_ROWS`` left rows are found by
+a partial count; there can be no more than ``rows / MAX_ROWS`` of them, which
 bounds the table that is broadcast. Rows of a hot key are spread over
-``ceil(n / max_rows)`` salts and the right rows of that key are repeated once
+``ceil(n / MAX_ROWS)`` salts and the right rows of that key are repeated once
 per salt. The salt is the task's own partition number: it does not depend on
 row order, so a retried task sends its rows to the same place, and identical
 rows spread as well as different ones. No row is dropped.
@@ -28,27 +28,37 @@ from pyspark.sql import functions as F
 
 from gradewell.operators.columns import all_present
 
-# Largest number of rows one key may bring to one task.
-MAX_ROWS = 2_000_000
-# Input up to this estimated size can be handled by one task whatever its keys.
-ONE_TASK_BYTES = 128 * 1024 * 1024
+# Session settings and their defaults: the most rows one key may bring to one
+# task, and the input size one task can handle whatever its keys.
+MAX_ROWS = ("spark.gradewell.maxRowsPerTask", 2_000_000)
+ONE_TASK_BYTES = ("spark.gradewell.oneTaskBytes", 128 * 1024 * 1024)
+
+
+def limit(df: DataFrame, setting: tuple[str, int]) -> int:
+    key, default = setting
+    return int(df.sparkSession.conf.get(key, str(default)))
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of all tables ``df`` reads, as the optimizer knows it; runs no job."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    """Size of all files and tables ``df`` reads; runs no job."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
-    return input_bytes(df) <= limit
+def fits_one_task(df: DataFrame) -> bool:
+    return input_bytes(df) <= limit(df, ONE_TASK_BYTES)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
-    """Keys with more than ``max_rows`` rows and the number of salts each needs."""
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with too many rows for one task and the number of salts each needs."""
     counted = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.where(F.col("__n") > max_rows).select(
-        *keys, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__salts")
+    return with_salts(counted, keys, "__n")
+
+
+def with_salts(counted: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
+    most = limit(counted, MAX_ROWS)
+    return counted.where(F.col(count) > most).select(
+        *keys, F.ceil(F.col(count) / F.lit(most)).cast("int").alias("__salts")
     )
 
 
@@ -57,15 +67,13 @@ def lookup_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_rows: int = MAX_ROWS,
-    one_task_bytes: int = ONE_TASK_BYTES,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Left or inner join on equal column names, safe for hot keys on the left."""
     on = list(on)
-    if fits_one_task(left, one_task_bytes):
+    if fits_one_task(left):
         return left.join(right, on, how)
-    hot = F.broadcast(hot_keys(left, on, max_rows) if hot is None else hot)
+    hot = F.broadcast(hot_keys(left, on) if hot is None else hot)
     # Rows without a key match nothing; they keep their own spread.
     salt = (
         F.when(~all_present(on), F.pmod(F.spark_partition_id(), F.lit(1024)))
@@ -95,16 +103,16 @@ def dim_join(df: DataFrame, dim: DataFrame, lkey: str, rkey: str) -> DataFrame:
 def star_join(
     base: DataFrame,
     sides: Sequence[tuple[DataFrame, Sequence[str]]],
-    max_rows: int = MAX_ROWS,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Left joins of several sides to one base, each on its own key columns.
 
-    Hot keys are counted on the base. Keys that only an earlier side brings in
+    Hot keys are counted on the base, or on ``source`` where that is a cheaper
+    table with the same keys. Keys that only an earlier side brings in
     are joined plainly: both inputs of such a join are fresh shuffles, which AQE
     splits where a key is hot.
     """
-    small = fits_one_task(base, one_task_bytes)
+    small = fits_one_task(base)
     hot: dict[tuple[str, ...], DataFrame] = {}
     out = base
     for side, on in sides:
@@ -113,24 +121,17 @@ def star_join(
             continue
         keys = tuple(on)
         if keys not in hot:
-            hot[keys] = hot_keys(base, keys, max_rows)
-        out = lookup_join(out, side, on, "left", max_rows, one_task_bytes, hot[keys])
+            hot[keys] = hot_keys(base if source is None else source, keys)
+        out = lookup_join(out, side, on, "left", hot[keys])
     return out
 
 
-def reduce_join(
-    dfs: Sequence[DataFrame],
-    on: Sequence[str],
-    max_rows: int = MAX_ROWS,
-    one_task_bytes: int = ONE_TASK_BYTES,
-) -> DataFrame:
+def reduce_join(dfs: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Inner join of all tables on the same keys; hot keys are those of the first table."""
-    if fits_one_task(dfs[0], one_task_bytes):
+    if fits_one_task(dfs[0]):
         return reduce(lambda a, b: a.join(b, list(on)), dfs)
-    hot = hot_keys(dfs[0], on, max_rows)
-    return reduce(
-        lambda a, b: lookup_join(a, b, on, "inner", max_rows, one_task_bytes, hot), dfs
-    )
+    hot = hot_keys(dfs[0], on)
+    return reduce(lambda a, b: lookup_join(a, b, on, "inner", hot), dfs)
 
 
 def join_suffixed(
@@ -139,7 +140,6 @@ def join_suffixed(
     on: Sequence[str],
     how: str = "left",
     suffixes: tuple[str, str] = ("_x", "_y"),
-    **safety: int,
 ) -> DataFrame:
     """Join where non-key columns of the same name get a suffix per side."""
     shared = (set(left.columns) & set(right.columns)) - set(on)
@@ -147,5 +147,5 @@ def join_suffixed(
     def marked(df: DataFrame, suffix: str) -> DataFrame:
         return df.withColumnsRenamed({c: c + suffix for c in df.columns if c in shared})
 
-    return lookup_join(marked(left, suffixes[0]), marked(right, suffixes[1]), on, how, **safety)
+    return lookup_join(marked(left, suffixes[0]), marked(right, suffixes[1]), on, how)
 

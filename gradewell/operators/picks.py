@@ -44,19 +44,19 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
     return top_n_per_group(df, keys, by).drop("__rn")
 
 
-def rows_of_latest(df: DataFrame, key: str, day: str, **safety: int) -> DataFrame:
+def rows_of_latest(df: DataFrame, key: str, day: str) -> DataFrame:
     """All rows of each key's latest day.
 
     The latest day is a partial aggregate joined back, so neither a hot key nor
     a day that many rows share gathers in one task.
     """
     latest = group_stats(df, [key], {"__latest": F.max(quoted(day))})
-    joined = lookup_join(require(df, [key]), latest, [key], "inner", **safety)
+    joined = lookup_join(require(df, [key]), latest, [key], "inner")
     return joined.where(quoted(day) == F.col("__latest")).drop("__latest")
 
 
 def fanout_join(
-    df: DataFrame, dim: DataFrame, lkey: str, rkey: str, order: Sequence[str], **safety: int
+    df: DataFrame, dim: DataFrame, lkey: str, rkey: str, order: Sequence[str]
 ) -> DataFrame:
     """Inner join with a dimension of several rows per key, one result row per left row.
 
@@ -65,13 +65,13 @@ def fanout_join(
     """
     one = first_per_group(dim, [rkey], order).withColumnRenamed(rkey, "__k")
     keyed = df.withColumn("__k", quoted(lkey))
-    return lookup_join(keyed, one, ["__k"], "inner", **safety).withColumnRenamed("__k", rkey)
+    return lookup_join(keyed, one, ["__k"], "inner").withColumnRenamed("__k", rkey)
 
 
 def attach_other(
-    df: DataFrame, other: DataFrame, key: str, day: str, name: str, **safety: int
+    df: DataFrame, other: DataFrame, key: str, day: str, name: str
 ) -> DataFrame:
     """Left-join the number of ``other`` rows on that side's latest day per key."""
     per_day = other.groupBy(key, day).agg(F.count(F.lit(1)).alias("__c"))
     latest = group_stats(per_day, [key], {name: F.max_by("__c", day)})
-    return lookup_join(df, latest, [key], "left", **safety)
+    return lookup_join(df, latest, [key], "left")

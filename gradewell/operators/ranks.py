@@ -24,17 +24,19 @@ from gradewell.operators.joins import (
     ONE_TASK_BYTES,
     fits_one_task,
     input_bytes,
+    limit,
     lookup_join,
+    with_salts,
 )
 from gradewell.session import pin
 
 
-def groups_fit(df: DataFrame, keys: Sequence[str], max_rows: int, one_task_bytes: int) -> bool:
+def groups_fit(df: DataFrame, keys: Sequence[str]) -> bool:
     """No group is too large for one task. Larger inputs are counted by key, map-side first."""
-    if fits_one_task(df, one_task_bytes):
+    if fits_one_task(df):
         return True
     sizes = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    return sizes.where(F.col("__n") > max_rows).isEmpty()
+    return sizes.where(F.col("__n") > limit(df, MAX_ROWS)).isEmpty()
 
 
 def pct_rank(c: Column | str, keys: Sequence[str]) -> Column:
@@ -59,13 +61,13 @@ def attach_pct_rank(
     measures: Mapping[str, str],
     rounded: bool = True,
     min_size: tuple[str, int] | None = None,
-    max_rows: int = MAX_ROWS,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    row_key: str | None = None,
 ) -> DataFrame:
     """Percent ranks ``{new column: measure}`` within the group.
 
     ``rounded`` rounds half to even. ``min_size`` = (size column, least size)
-    leaves the rank NULL in smaller groups.
+    leaves the rank NULL in smaller groups. With ``row_key``, a column unique to
+    each row, many measures are ranked together instead of one window each.
     """
     gate = quoted(min_size[0]) >= min_size[1] if min_size else None
 
@@ -73,49 +75,74 @@ def attach_pct_rank(
         out = F.bround(c, 0) if rounded else c
         return F.when(gate, out) if min_size else out
 
-    if groups_fit(df, keys, max_rows, one_task_bytes):
+    if row_key is None and groups_fit(df, keys):
         return df.withColumns({new: finish(pct_rank(m, keys)) for new, m in measures.items()})
 
     source = df.where(gate) if min_size else df
-    counted = pin(value_counts(source, keys, list(measures.values())))
-    ranked = running_counts(counted, [*keys, "__measure"], "__value", "__n")
-    ranked = pin(
-        ranked.withColumn(
-            "__pct",
-            (F.col("__below") + (F.col("__n") + 1) / F.lit(2.0)) / F.col("__total") * F.lit(100.0),
-        )
-    )
-    out = df
-    for i, (new, measure) in enumerate(measures.items()):
-        mine = ranked.where(F.col("__measure") == i)
-        on = [*keys, "__value"]
-        hot = mine.where(F.col("__n") > max_rows).select(
-            *on, F.ceil(F.col("__n") / F.lit(max_rows)).cast("int").alias("__salts")
-        )
+    ranked = value_ranks(source, keys, list(measures.values()))
+    if row_key is None:
+        out = df
+        for i, (new, measure) in enumerate(measures.items()):
+            mine = ranked.where(F.col("__measure") == i)
+            on = [*keys, "__value"]
+            out = lookup_join(
+                out.withColumn("__value", quoted(measure).cast("double")),
+                mine.select(*on, F.col("__pct").alias(new)),
+                on,
+                "left",
+                with_salts(mine, on, "__n"),
+            ).drop("__value")
+    else:
+        on = [*keys, "__measure", "__value"]
         looked = lookup_join(
-            out.withColumn("__value", quoted(measure).cast("double")),
-            mine.select(*on, F.col("__pct").alias(new)),
+            long_values(source, keys, list(measures.values()), row_key),
+            ranked.select(*on, "__pct"),
             on,
-            "left",
-            max_rows=max_rows,
-            one_task_bytes=one_task_bytes,
-            hot=hot,
-        ).drop("__value")
-        out = looked.withColumn(new, finish(quoted(new)))
-    return out
+            "inner",
+            with_salts(ranked, on, "__n"),
+        )
+        # The values of a row leave its task together, so they are one row again
+        # before the shuffle.
+        wide = looked.groupBy(row_key).agg(
+            *[
+                F.max(F.when(F.col("__measure") == i, F.col("__pct"))).alias(new)
+                for i, new in enumerate(measures)
+            ]
+        )
+        out = df.join(wide, row_key, "left")
+    return out.withColumns({new: finish(quoted(new)) for new in measures})
+
+
+def value_ranks(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """(keys, measure number, value) with its row count and percent rank."""
+    counted = value_counts(df, keys, measures)
+    group = [*keys, "__measure"]
+    if not fits_one_task(df):
+        counted = pin(counted)
+    if groups_fit(counted, group):
+        window = Window.partitionBy(*[quoted(k) for k in group])
+        before = window.orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counted.withColumns(
+            {
+                "__below": F.coalesce(F.sum("__n").over(before), F.lit(0)),
+                "__total": F.sum("__n").over(window),
+            }
+        )
+    else:
+        ranked = running_counts(counted, group, "__value", "__n")
+    mean_rank = F.col("__below") + (F.col("__n") + 1) / F.lit(2.0)
+    ranked = ranked.withColumn("__pct", mean_rank / F.col("__total") * F.lit(100.0))
+    return ranked if fits_one_task(df) else pin(ranked)
 
 
 def attach_median(
     df: DataFrame,
     keys: Sequence[str],
     measures: Mapping[str, str],
-    max_rows: int = MAX_ROWS,
-    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Exact group medians ``{new column: measure}``: mean of the middle two values."""
-    safety = {"max_rows": max_rows, "one_task_bytes": one_task_bytes}
-    if fits_one_task(df, one_task_bytes):
-        return attach(df, keys, {n: F.median(quoted(m)) for n, m in measures.items()}, **safety)
+    if fits_one_task(df):
+        return attach(df, keys, {n: F.median(quoted(m)) for n, m in measures.items()})
     counted = pin(value_counts(df, keys, list(measures.values())))
     ranked = running_counts(counted, [*keys, "__measure"], "__value", "__n")
     low = F.floor((F.col("__total") + 1) / 2)
@@ -130,7 +157,7 @@ def attach_median(
         mine = F.col("__measure") == i
         middles[new] = (F.max(F.when(mine, at(low))) + F.max(F.when(mine, at(high)))) / F.lit(2.0)
     medians = group_stats(ranked, keys, middles)
-    return lookup_join(df, medians, keys, "left", **safety)
+    return lookup_join(df, medians, keys, "left")
 
 
 def attach_lag(
@@ -138,8 +165,6 @@ def attach_lag(
     key: str,
     order: Sequence[str],
     lags: Mapping[str, tuple[str, int]],
-    max_rows: int = MAX_ROWS,
-    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Earlier values ``{new column: (column, steps)}`` of the same key; NULL at its start.
 
@@ -153,7 +178,7 @@ def attach_lag(
             for new, (c, n) in lags.items()
         }
 
-    if groups_fit(df, [key], max_rows, one_task_bytes):
+    if groups_fit(df, [key]):
         return df.withColumns(earlier(Window.partitionBy(quoted(key)).orderBy(*by)))
 
     depth = max(n for _, n in lags.values())
@@ -179,7 +204,6 @@ def attach_lag(
         spanning,
         [key],
         "inner",
-        one_task_bytes=one_task_bytes,
     )
     across = edges.withColumns(earlier(Window.partitionBy(quoted(key)).orderBy(*by))).where(
         F.col("__from_start") <= depth
@@ -197,17 +221,24 @@ def attach_lag(
     return fixed.select(*[quoted(c) for c in df.columns], *[quoted(n) for n in lags])
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """(keys, measure number, value, rows) for each known value, counted map-side first."""
+def long_values(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[str], *more: str
+) -> DataFrame:
+    """One row per known value: keys, measure number and value."""
     pairs = F.array(
         *[
             F.struct(F.lit(i).alias("__measure"), quoted(m).cast("double").alias("__value"))
             for i, m in enumerate(measures)
         ]
     )
-    long = require(df, keys).select(*[quoted(k) for k in keys], F.inline(pairs))
+    long = require(df, keys).select(*[quoted(k) for k in [*keys, *more]], F.inline(pairs))
+    return long.where(F.col("__value").isNotNull())
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """(keys, measure number, value, rows) for each known value, counted map-side first."""
     return (
-        long.where(F.col("__value").isNotNull())
+        long_values(df, keys, measures)
         .groupBy(*[quoted(k) for k in keys], "__measure", "__value")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
@@ -217,7 +248,7 @@ def segment_count(df: DataFrame) -> int:
     """As many segments as the session shuffles into, more when the size asks for it."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = input_bytes(df)
-    by_size = size // ONE_TASK_BYTES if size < 2**60 else 0  # no estimate above that
+    by_size = size // ONE_TASK_BYTES[1] if size < 2**60 else 0  # no estimate above that
     return max(configured, min(by_size, 100_000))
 
 

@@ -24,7 +24,7 @@ from gradewell.operators.columns import (
     select_cols,
 )
 from gradewell.operators.filters import allow, require
-from gradewell.operators.groups import attach, group_stats, share, total
+from gradewell.operators.groups import group_stats, share, total
 from gradewell.operators.joins import star_join
 from gradewell.operators.picks import dedup
 from gradewell.operators.ranks import attach_pct_rank
@@ -84,14 +84,8 @@ SHARES = {
     "rehosp_alleg": "rehosp_bin",
     "comp_bin": "comp_binary",
 }
-# County means of the patient-survey flags, kept in the full table (fixed values).
-SURVEY_FLAGS = [
-    "HC_prof_care",
-    "HC_good_comm",
-    "HC_dis_med_pain_saf",
-    "HC_hh_rate_over8",
-    "HC_def_rec",
-]
+# Patient-survey flags whose county means the full table has.
+SURVEY_FLAGS = [r.flag for r in RULES if r.flag.startswith("HC_")]
 
 
 def provider_table(df: DataFrame) -> DataFrame:
@@ -218,61 +212,68 @@ def add_scores(df: DataFrame, outcomes: Mapping[str, Outcome] = OUTCOMES) -> Dat
     return df
 
 
-def add_state_stats(scored: DataFrame) -> DataFrame:
-    """State ranks, medians and shares. Counted per served county, as the table is."""
-    medians = {f"oe_{o}_state_median": f"oe_{o}_estimate" for o in OUTCOMES}
-    shares = {
-        **{f"{name}_sum": total(flag) for name, flag in SHARES.items()},
-        **{f"{name}_state_mean": share(flag) for name, flag in SHARES.items()},
-    }
-    df = attach_pct_rank(scored, ["state"], {m.state_rank: m.name for m in MEASURES})
+def state_stats(scored: DataFrame) -> DataFrame:
+    """Medians, sums and shares per state. Rows count per served county, as the table has them."""
     # An estimate takes at most nine values, so the medians' value maps stay small.
-    return attach(
-        df,
+    return group_stats(
+        scored,
         ["state"],
-        {**shares, **{name: F.median(c) for name, c in medians.items()}},
-        source=scored,
+        {
+            **{f"oe_{o}_state_median": F.median(f"oe_{o}_estimate") for o in OUTCOMES},
+            **{f"{name}_sum": total(flag) for name, flag in SHARES.items()},
+            **{f"{name}_state_mean": share(flag) for name, flag in SHARES.items()},
+        },
     )
 
 
-def add_county_ranks(df: DataFrame) -> DataFrame:
-    """County ranks where the county has at least 40 providers; one row per county and provider."""
+def county_stats(graded: DataFrame) -> DataFrame:
+    """Shares and patient-survey means per county."""
+    return group_stats(
+        graded,
+        ["County_ID"],
+        {
+            **{f"{name}_county_mean": share(flag) for name, flag in SHARES.items()},
+            **{f"{flag.removesuffix('_binary')}_mean": F.avg(flag) for flag in SURVEY_FLAGS},
+        },
+    )
+
+
+def grade_rows(scored: DataFrame) -> DataFrame:
+    """Ranks and letters by ``row_id``, on the columns they need instead of the whole rows.
+
+    State ranks use all rows and county ranks those of counties with at least 40
+    providers; then one row per county and provider is kept, and the score
+    differences are ranked within the state and turned into letters.
+    """
+    measures = [m.name for m in MEASURES]
+    flags = [*SHARES.values(), *SURVEY_FLAGS, *[spec.small_flag for spec in OUTCOMES.values()]]
+    scores = [c for o in OUTCOMES for c in (f"pred_{o}_diff", f"oe_{o}_estimate")]
+    first = ["CRTFCTN_DT", "provider_name", "address", "zip_code"]
+    keys = ["row_id", "state", "County_ID", CCN, "County_count"]
+    df = select_cols(scored, [*keys, *first, *measures, *flags, *scores])
+    df = attach_pct_rank(
+        df, ["state"], {m.state_rank: m.name for m in MEASURES}, row_key="row_id"
+    )
     df = attach_pct_rank(
         df,
         ["County_ID"],
         {m.county_rank: m.name for m in MEASURES},
         min_size=("County_count", MIN_COUNTY),
+        row_key="row_id",
     )
-    return dedup(df, ["County_ID", CCN], ["CRTFCTN_DT", "provider_name", "address", "zip_code"])
-
-
-def add_county_shares(ranked: DataFrame) -> DataFrame:
-    shares = {f"{name}_county_mean": share(flag) for name, flag in SHARES.items()}
-    means = {
-        f"{name}_{end}_mean": F.avg(f"{name}_{end}_binary")
-        for name in SURVEY_FLAGS
-        for end in ("high", "low")
-    }
-    return attach(ranked, ["County_ID"], {**shares, **means})
-
-
-def add_letters(df: DataFrame) -> DataFrame:
-    """State percentiles of the score differences and their letters."""
+    df = dedup(df, ["County_ID", CCN], [*first, "row_id"])
     df = attach_pct_rank(
         df,
         ["state"],
         {spec.percentile: f"pred_{o}_diff" for o, spec in OUTCOMES.items()},
         rounded=False,
+        row_key="row_id",
     )
-    return derive(
-        df,
-        {
-            spec.letter: scoring.clamp_letter(
-                scoring.letter_grade(spec.percentile), spec.small_flag
-            )
-            for spec in OUTCOMES.values()
-        },
-    )
+    letters = {
+        spec.letter: scoring.clamp_letter(scoring.letter_grade(spec.percentile), spec.small_flag)
+        for spec in OUTCOMES.values()
+    }
+    return derive(df, letters)
 
 
 def letter_mean(
@@ -286,15 +287,8 @@ def letter_mean(
     return df.join(F.broadcast(means), letter, "left")
 
 
-def letter_means(ranked: DataFrame) -> DataFrame:
-    """Mean estimate per outcome and letter, at most 9 x 6 rows.
-
-    Reads only the state, the score differences, the estimates and the
-    small-volume flags of the ranked table.
-    """
-    needed = {"state"}
-    for o, spec in OUTCOMES.items():
-        needed |= {f"pred_{o}_diff", f"oe_{o}_estimate", spec.small_flag}
+def letter_means(graded: DataFrame) -> DataFrame:
+    """Mean estimate per outcome and letter, at most 9 x 6 rows."""
     pairs = F.array(
         *[
             F.struct(
@@ -305,8 +299,8 @@ def letter_means(ranked: DataFrame) -> DataFrame:
             for o, spec in OUTCOMES.items()
         ]
     )
-    graded = add_letters(ranked.select(*sorted(needed))).select(F.inline(pairs))
-    return group_stats(graded, ["outcome", "letter"], {"mean": F.avg("estimate")})
+    long = graded.select(F.inline(pairs))
+    return group_stats(long, ["outcome", "letter"], {"mean": F.avg("estimate")})
 
 
 def add_rates(df: DataFrame, means: DataFrame) -> DataFrame:
@@ -353,18 +347,52 @@ def add_published_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
     return fill_defaults(require(derive(df, {**answers, **texts}), ["state"]), filled)
 
 
+def needed_columns() -> list[str]:
+    """Scored columns that the statistics and the extracts use; other flags are not stored."""
+    made_later = {m.state_rank for m in MEASURES} | {m.county_rank for m in MEASURES}
+    published = [c for c in SCORECARD_COLUMNS if c not in made_later]
+    return [
+        "row_id",
+        CCN,
+        "County_ID",
+        "STATE_ABBREV",
+        "type_of_ownership",
+        *SERVICE_ANSWERS.values(),
+        *SHARES.values(),
+        *SURVEY_FLAGS,
+        *[m.name for m in MEASURES],
+        *[spec.small_flag for spec in OUTCOMES.values()],
+        *[c for o in OUTCOMES for c in (f"pred_{o}_diff", f"oe_{o}_estimate", f"score_missing_{o}")],
+        *published,
+    ]
+
+
+def score_rows(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+    """Joined, flagged and scored rows, pinned with a row number.
+
+    The number is only written down once, so it means the same row to all readers.
+    """
+    scored = add_scores(add_flags(joined_rows(tables, asof)))
+    scored = scored.withColumn("row_id", F.monotonically_increasing_id())
+    kept = [c for c in dict.fromkeys(needed_columns()) if c in scored.columns]
+    return pin(select_cols(scored, kept))
+
+
 def full_table(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
-    """Every column of the scorecard.
+    """Every stored column of the scorecard.
 
-    The scored rows and the ranked rows are pinned, because the statistics read
-    them again, a few columns at a time; so are the few letter means.
+    Three tables are pinned: the scored rows, their grades, and the few letter
+    means. The wide rows then meet grades and statistics in one pass of joins.
     """
-    scored = pin(add_scores(add_flags(joined_rows(tables, asof))))
-    ranked = add_county_ranks(add_state_stats(scored))
-    ranked = pin(scale(ranked, [m.name for m in MEASURES], 100))
-    means = pin(letter_means(ranked))
-    full = add_rates(add_letters(add_county_shares(ranked)), means)
-    return add_published_text(full, asof)
+    scored = score_rows(tables, asof)
+    graded = pin(grade_rows(scored))
+    means = pin(letter_means(graded))
+    grades = graded.select("row_id", *[c for c in graded.columns if c not in scored.columns])
+    rows = scale(scored, [m.name for m in MEASURES], 100).join(grades, "row_id")
+    rows = star_join(
+        rows, [(state_stats(scored), ["state"]), (county_stats(graded), ["County_ID"])], scored
+    )
+    return add_published_text(add_rates(rows, means), asof)
 
 
 def scorecard(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:

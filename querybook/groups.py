@@ -255,6 +255,27 @@ def gated_pct_rank(spark, folder):
     return out.select("c_custkey", *RANK_COLS)
 
 
+@register(
+    QUERIES,
+    SQL,
+    "SELECT c_custkey, "
+    + ", ".join(
+        f"CASE WHEN n >= 60 THEN round_even({rank_sql(c, 'c_nationkey')}, 0) END AS {n}"
+        for n, c in RANK_COLS.items()
+    )
+    + f" FROM (SELECT *, count(*) OVER (PARTITION BY c_nationkey) AS n FROM ({RANK_BASE}))",
+)
+def pct_rank_many(spark, folder):
+    """Several measures ranked together by row key."""
+    sized = groups.attach(
+        ranked_customers(spark, folder), ["c_nationkey"], {"n": F.count("c_custkey")}
+    )
+    out = ranks.attach_pct_rank(
+        sized, ["c_nationkey"], RANK_COLS, min_size=("n", 60), row_key="c_custkey"
+    )
+    return out.select("c_custkey", *RANK_COLS)
+
+
 @register(
     QUERIES,
     SQL,

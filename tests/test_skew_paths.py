@@ -1,5 +1,7 @@
 """The paths for large inputs and hot keys must give what the plain paths give."""
 
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,8 +10,31 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gradewell.operators import groups, joins, picks, ranks
+from gradewell.operators.joins import MAX_ROWS, ONE_TASK_BYTES
+
+
+
+@contextmanager
+def limits(spark, rows=20, size=0):
+    """Treat every input as large and every key with more than ``rows`` rows as hot."""
+    values = {MAX_ROWS[0]: rows, ONE_TASK_BYTES[0]: size}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key in values:
+            spark.conf.unset(key)
+
+
+def both(spark, build):
+    """The same operator on the plain and on the large-input path."""
+    with limits(spark, size=2**62):
+        plain = build()
+    with limits(spark):
+        forced = build()
+    return plain, forced
 
-FORCED = {"max_rows": 20, "one_task_bytes": 0}
 
 
 @pytest.fixture(scope="module")
@@ -50,36 +75,48 @@ def close(a, b):
     )
 
 
-def test_pct_rank_matches_pandas_on_both_paths(skewed):
+def test_pct_rank_matches_pandas_on_both_paths(spark, skewed):
     df, frame = skewed
     want = frame.groupby("k")["v"].rank(pct=True) * 100
-    for safety in ({}, FORCED):
-        got = by_id(ranks.attach_pct_rank(df, ["k"], {"r": "v"}, rounded=False, **safety), "r")
+    for out in both(spark, lambda: ranks.attach_pct_rank(df, ["k"], {"r": "v"}, rounded=False)):
+        got = by_id(out, "r")
         assert len(got) == len(frame)
-        for i, k in zip(frame["id"], frame["k"]):
-            value = want[i]
-            if np.isnan(value):
-                assert got[i][0] is None or np.isnan(k)
-            else:
-                assert got[i][0] == pytest.approx(value)
+        for i in frame["id"]:
+            assert (got[i][0] is None) == np.isnan(want[i])
+            assert np.isnan(want[i]) or got[i][0] == pytest.approx(want[i])
 
 
-def test_rounded_gated_ranks_of_several_measures(skewed):
+def test_pct_rank_by_row_key(spark, skewed):
     df, _ = skewed
-    sized = groups.attach(df.where("k is not null"), ["k"], {"n": F.count("id")})
     measures = {"r1": "v", "r2": "day"}
-    args = {"measures": measures, "min_size": ("n", 30)}
-    plain = by_id(ranks.attach_pct_rank(sized, ["k"], **args), "r1", "r2")
-    forced = by_id(ranks.attach_pct_rank(sized, ["k"], **args, **FORCED), "r1", "r2")
-    assert close(plain, forced)
-    assert any(v[0] is None for v in plain.values())
+
+    def keyed():
+        return ranks.attach_pct_rank(df, ["k"], measures, rounded=False, row_key="id")
+
+    with limits(spark, size=2**62):
+        windows = ranks.attach_pct_rank(df, ["k"], measures, rounded=False)
+    plain, forced = both(spark, keyed)
+    want = by_id(windows, "r1", "r2")
+    assert close(want, by_id(plain, "r1", "r2"))
+    assert close(want, by_id(forced, "r1", "r2"))
 
 
-def test_median_matches_pandas_on_both_paths(skewed):
+def test_rounded_gated_ranks_of_several_measures(spark, skewed):
+    df, _ = skewed
+    sized = groups.attach(df, ["k"], {"n": F.count("id")})
+    measures = {"r1": "v", "r2": "day"}
+    plain, forced = both(
+        spark, lambda: ranks.attach_pct_rank(sized, ["k"], measures, min_size=("n", 30))
+    )
+    assert close(by_id(plain, "r1", "r2"), by_id(forced, "r1", "r2"))
+    assert any(v[0] is None for v in by_id(plain, "r1").values())
+
+
+def test_median_matches_pandas_on_both_paths(spark, skewed):
     df, frame = skewed
     want = frame.groupby("k")[["v", "day"]].median()
-    for safety in ({}, FORCED):
-        got = by_id(ranks.attach_median(df, ["k"], {"m": "v", "d": "day"}, **safety), "k", "m", "d")
+    for out in both(spark, lambda: ranks.attach_median(df, ["k"], {"m": "v", "d": "day"})):
+        got = by_id(out, "k", "m", "d")
         assert len(got) == len(frame)
         for k, m, d in got.values():
             if k is None:
@@ -89,65 +126,63 @@ def test_median_matches_pandas_on_both_paths(skewed):
 
 
 @pytest.mark.parametrize("steps", [1, 2, 3])
-def test_lag_across_segments(skewed, steps):
+def test_lag_across_segments(spark, skewed, steps):
     df, _ = skewed
-    df = df.where("k is not null")
     lags = {"p": ("day", 1), "q": ("v", steps)}
-    plain = by_id(ranks.attach_lag(df, "k", ["day", "id"], lags), "p", "q")
-    forced = by_id(ranks.attach_lag(df, "k", ["day", "id"], lags, **FORCED), "p", "q")
-    assert plain == forced
+    plain, forced = both(spark, lambda: ranks.attach_lag(df, "k", ["day", "id"], lags))
+    assert by_id(plain, "p", "q") == by_id(forced, "p", "q")
+    assert len(by_id(forced, "p")) == 600
 
 
-def test_attach_on_both_paths(skewed):
-    df, frame = skewed
+def test_attach_on_both_paths(spark, skewed):
+    df, _ = skewed
     aggs = {"s": groups.total("v"), "c": F.count("v"), "r": groups.share("flag")}
-    plain = by_id(groups.attach(df, ["k"], aggs), "k", "s", "c", "r")
-    forced = by_id(groups.attach(df, ["k"], aggs, **FORCED), "k", "s", "c", "r")
-    assert close(plain, forced) and len(forced) == len(frame)
-    assert all(v[1:] == (None, None, None) for v in forced.values() if v[0] is None)
+    plain, forced = both(spark, lambda: groups.attach(df, ["k"], aggs))
+    got = by_id(forced, "k", "s", "c", "r")
+    assert close(by_id(plain, "k", "s", "c", "r"), got) and len(got) == 600
+    assert all(v[1:] == (None, None, None) for v in got.values() if v[0] is None)
 
 
-def test_hot_rows_are_spread_and_none_is_lost(skewed):
+def test_hot_rows_are_spread_and_none_is_lost(spark, skewed):
     df, _ = skewed
-    hot = joins.hot_keys(df, ["k"], 20).collect()
-    assert {r["k"] for r in hot} >= {0} and all(r["__salts"] >= 2 for r in hot)
     right = df.groupBy("k").agg(F.max("v").alias("top"))
-    left = joins.lookup_join(df, right, ["k"], "left", **FORCED)
-    inner = joins.lookup_join(df, right, ["k"], "inner", **FORCED)
-    assert left.count() == df.count()
-    assert inner.count() == df.where("k is not null").count()
+    with limits(spark):
+        hot = joins.hot_keys(df, ["k"]).collect()
+        left = joins.lookup_join(df, right, ["k"], "left").count()
+        inner = joins.lookup_join(df, right, ["k"], "inner").count()
+    assert {r["k"] for r in hot} >= {0} and all(r["__salts"] >= 2 for r in hot)
+    assert left == df.count()
+    assert inner == df.where("k is not null").count()
 
 
-def test_rows_of_latest_keeps_all_ties(skewed):
+def test_rows_of_latest_keeps_all_ties(spark, skewed):
     df, frame = skewed
-    latest = frame.groupby("k")["day"].transform("max")
-    want = set(frame.loc[frame["day"] == latest, "id"])
-    for safety in ({}, FORCED):
-        got = picks.rows_of_latest(df, "k", "day", **safety)
-        assert {r["id"] for r in got.collect()} == want
+    want = set(frame.loc[frame["day"] == frame.groupby("k")["day"].transform("max"), "id"])
+    for out in both(spark, lambda: picks.rows_of_latest(df, "k", "day")):
+        assert {r["id"] for r in out.collect()} == want
 
 
-def test_star_join_counts_on_the_base(skewed, spark):
+def test_star_join_counts_on_the_base(spark, skewed):
     df, _ = skewed
     dim = df.where("k is not null").groupBy("k").agg(F.min("id").alias("owner"))
     names = df.select(F.col("id").alias("owner"), F.col("day").alias("owner_day"))
     sides = [(dim, ["k"]), (names, ["owner"])]
-    plain = by_id(joins.star_join(df, sides), "owner", "owner_day")
-    forced = by_id(joins.star_join(df, sides, **FORCED), "owner", "owner_day")
-    assert plain == forced and len(plain) == 600
+    plain, forced = both(spark, lambda: joins.star_join(df, sides))
+    assert by_id(plain, "owner", "owner_day") == by_id(forced, "owner", "owner_day")
+    assert forced.count() == 600
 
 
-def test_reduce_join_on_both_paths(skewed):
+def test_reduce_join_on_both_paths(spark, skewed):
     df, _ = skewed
     known = df.where("k is not null")
     sides = [known] + [
         groups.group_stats(known, ["k"], {n: F.max(c)}) for n, c in (("a", "v"), ("b", "day"))
     ]
-    plain = by_id(joins.reduce_join(sides, ["k"]), "a", "b")
-    assert plain == by_id(joins.reduce_join(sides, ["k"], **FORCED), "a", "b")
+    plain, forced = both(spark, lambda: joins.reduce_join(sides, ["k"]))
+    assert by_id(plain, "a", "b") == by_id(forced, "a", "b")
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(st.integers(0, 2), st.one_of(st.none(), st.sampled_from([0.0, 1.0, 2.5]))),
@@ -156,13 +191,14 @@ def test_reduce_join_on_both_paths(skewed):
     )
 )
 def test_rank_is_within_range_and_independent_of_partitions(spark, rows):
-    data = [(i, k, v) for i, (k, v) in enumerate(rows)]
-    df = spark.createDataFrame(data, "id int, k int, v double")
-    small = {"one_task_bytes": 2**62}
-    one = by_id(ranks.attach_pct_rank(df.coalesce(1), ["k"], {"r": "v"}, False, **small), "r")
-    many = by_id(ranks.attach_pct_rank(df.repartition(5), ["k"], {"r": "v"}, False, **small), "r")
-    forced = by_id(
-        ranks.attach_pct_rank(df, ["k"], {"r": "v"}, False, max_rows=1, one_task_bytes=0), "r"
-    )
+    df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(rows)], "id int, k int, v double")
+
+    def rank(frame):
+        return by_id(ranks.attach_pct_rank(frame, ["k"], {"r": "v"}, rounded=False), "r")
+
+    with limits(spark, size=2**62):
+        one, many = rank(df.coalesce(1)), rank(df.repartition(5))
+    with limits(spark, rows=1):
+        forced = rank(df)
     assert one == many and close(one, forced)
     assert all(v[0] is None or 0 < v[0] <= 100 for v in one.values())

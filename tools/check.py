@@ -14,7 +14,7 @@ from gradewell.session import session
 
 folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:]
-spark = session(**{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+spark = session(**{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                    "spark.driver.memory": "12g"})
 spark.sparkContext.setLogLevel("ERROR")
 con = connect(folder)
