@@ -23,8 +23,8 @@ def write_by(
     task, a large one is cut into consecutive sorted files, none is gathered.
     The key stays a column of the files; the folder is named ``by_<key>=<value>``.
     """
-    order = [quoted(c) for c in dict.fromkeys([key, *sort])]
     folder = f"by_{key}"
+    order = [quoted(c) for c in [folder, *sort]]
     (
         allow(df, key, values)
         .withColumn(folder, quoted(key))
