@@ -100,15 +100,10 @@ def dim_join(df: DataFrame, dim: DataFrame, lkey: str, rkey: str) -> DataFrame:
     return df.join(dim, df[lkey] == dim[rkey], "inner")
 
 
-def star_join(
-    base: DataFrame,
-    sides: Sequence[tuple[DataFrame, Sequence[str]]],
-    source: DataFrame | None = None,
-) -> DataFrame:
+def star_join(base: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Left joins of several sides to one base, each on its own key columns.
 
-    Hot keys are counted on the base, or on ``source`` where that is a cheaper
-    table with the same keys. Keys that only an earlier side brings in
+    Hot keys are counted on the base. Keys that only an earlier side brings in
     are joined plainly: both inputs of such a join are fresh shuffles, which AQE
     splits where a key is hot.
     """
@@ -121,7 +116,7 @@ def star_join(
             continue
         keys = tuple(on)
         if keys not in hot:
-            hot[keys] = hot_keys(base if source is None else source, keys)
+            hot[keys] = hot_keys(base, keys)
         out = lookup_join(out, side, on, "left", hot[keys])
     return out
 

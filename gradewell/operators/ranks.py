@@ -61,58 +61,76 @@ def attach_pct_rank(
     measures: Mapping[str, str],
     rounded: bool = True,
     min_size: tuple[str, int] | None = None,
-    row_key: str | None = None,
 ) -> DataFrame:
-    """Percent ranks ``{new column: measure}`` within the group.
+    """Percent ranks ``{new column: measure}`` within the group, on every row.
 
     ``rounded`` rounds half to even. ``min_size`` = (size column, least size)
-    leaves the rank NULL in smaller groups. With ``row_key``, a column unique to
-    each row, many measures are ranked together instead of one window each.
+    leaves the rank NULL in smaller groups. For many measures of a table with a
+    row key see ``rank_rows``.
     """
-    gate = quoted(min_size[0]) >= min_size[1] if min_size else None
+    gate = quoted(min_size[0]) >= min_size[1] if min_size else F.lit(True)
 
     def finish(c: Column) -> Column:
-        out = F.bround(c, 0) if rounded else c
-        return F.when(gate, out) if min_size else out
+        return F.when(gate, F.bround(c, 0) if rounded else c)
 
-    if row_key is None and groups_fit(df, keys):
+    if groups_fit(df, keys):
         return df.withColumns({new: finish(pct_rank(m, keys)) for new, m in measures.items()})
 
-    source = df.where(gate) if min_size else df
-    ranked = value_ranks(source, keys, list(measures.values()))
-    if row_key is None:
-        out = df
-        for i, (new, measure) in enumerate(measures.items()):
-            mine = ranked.where(F.col("__measure") == i)
-            on = [*keys, "__value"]
-            out = lookup_join(
-                out.withColumn("__value", quoted(measure).cast("double")),
-                mine.select(*on, F.col("__pct").alias(new)),
-                on,
-                "left",
-                with_salts(mine, on, "__n"),
-            ).drop("__value")
-    else:
-        on = [*keys, "__measure", "__value"]
-        looked = lookup_join(
-            long_values(source, keys, list(measures.values()), row_key),
-            ranked.select(*on, "__pct"),
+    ranked = value_ranks(df.where(gate), keys, list(measures.values()))
+    out = df
+    for i, (new, measure) in enumerate(measures.items()):
+        mine = ranked.where(F.col("__measure") == i)
+        on = [*keys, "__value"]
+        out = lookup_join(
+            out.withColumn("__value", quoted(measure).cast("double")),
+            mine.select(*on, F.col("__pct").alias(new)),
             on,
-            "inner",
-            with_salts(ranked, on, "__n"),
-        )
-        # The values of a row leave its task together, so they are one row again
-        # before the shuffle.
-        wide = looked.groupBy(row_key).agg(
-            *[
-                F.max(F.when(F.col("__measure") == i, F.col("__pct"))).alias(new)
-                for i, new in enumerate(measures)
-            ]
-        )
-        out = df.join(wide, row_key, "left")
+            "left",
+            with_salts(mine, on, "__n"),
+        ).drop("__value")
     return out.withColumns({new: finish(quoted(new)) for new in measures})
 
 
+def rank_rows(
+    df: DataFrame,
+    row_key: str,
+    keys: Sequence[str],
+    measures: Mapping[str, str],
+    rounded: bool = True,
+    min_size: tuple[str, int] | None = None,
+) -> DataFrame:
+    """Percent ranks of many measures at once: ``row_key`` and one column per rank.
+
+    The rows are turned to (group, measure, value), so all measures share one
+    count, one window over distinct values and one join. Only ranked rows appear;
+    join the result to ``df`` by the key. Build several of these from one table
+    rather than from each other's results.
+    """
+    source = df.where(quoted(min_size[0]) >= min_size[1]) if min_size else df
+    ranked = value_ranks(source, keys, list(measures.values()))
+    on = [*keys, "__measure", "__value"]
+    looked = lookup_join(
+        long_values(source, keys, list(measures.values()), row_key),
+        ranked.select(*on, "__pct"),
+        on,
+        "inner",
+        with_salts(ranked, on, "__n"),
+    )
+    # After a broadcast join the values of a row are still in one task and become
+    # one row again before this shuffle.
+    return looked.groupBy(row_key).agg(
+        *[
+            F.max(
+                F.when(
+                    F.col("__measure") == i,
+                    F.bround("__pct", 0) if rounded else F.col("__pct"),
+                )
+            ).alias(new)
+            for i, new in enumerate(measures)
+        ]
+    )
+
+
 def value_ranks(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """(keys, measure number, value) with its row count and percent rank."""
     counted = value_counts(df, keys, measures)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradewell.functions.dates import compact_date
@@ -12,9 +12,9 @@ from gradewell.functions.flags import decode, present
 from gradewell.functions.text import pad_code, tag_code
 from gradewell.operators.columns import normalize_headers, rename, select_cols, union_all
 from gradewell.operators.filters import distinct_keys, in_cycle_windows, require
-from gradewell.operators.groups import attach, group_stats
+from gradewell.operators.groups import group_stats
 from gradewell.operators.joins import lookup_join
-from gradewell.operators.picks import attach_other, dedup, first_per_group, rows_of_latest
+from gradewell.operators.picks import dedup, first_per_group, rows_of_latest
 from gradewell.specs.tags import tag_lists
 
 # Input headers of the two sources (fixed values).
@@ -95,21 +95,22 @@ def deficiency_rows(
     found = dedup(found, ["PRVDR_NUM", "SRVY_DT", "DFCNCY_TAG_NUM"], ["source", "SRVY_CYC_CD"])
     found = in_cycle_windows(found, "SRVY_CYC_CD", "SRVY_DT", asof, CYCLE_MONTHS)
 
-    standard = attach(
-        found.where(F.col("SRVY_CYC_CD") == "S"),
-        ["PRVDR_NUM", "SRVY_DT"],
-        {"tagcount_lastsurv": F.count("DFCNCY_TAG_NUM")},
+    # A provider has at most its two latest survey days here and one row per tag
+    # code and day, so these groups are small whatever the input.
+    tag_count = F.count("DFCNCY_TAG_NUM").over(
+        Window.partitionBy("PRVDR_NUM", "SRVY_DT", "SRVY_CYC_CD")
     )
-    complaint = found.where(F.col("SRVY_CYC_CD") == "C")
-    rows = union_all(
-        [
-            attach_other(standard, complaint, "PRVDR_NUM", "SRVY_DT", "tagcount_complaint"),
-            attach(
-                complaint,
-                ["PRVDR_NUM", "SRVY_DT"],
-                {"tagcount_complaint": F.count("DFCNCY_TAG_NUM")},
+    is_standard = F.col("SRVY_CYC_CD") == "S"
+    last_complaint = F.max(F.when(~is_standard, F.struct("SRVY_DT", "tag_count"))).over(
+        Window.partitionBy("PRVDR_NUM")
+    )
+    rows = found.withColumn("tag_count", tag_count).withColumns(
+        {
+            "tagcount_lastsurv": F.when(is_standard, F.col("tag_count")),
+            "tagcount_complaint": F.when(is_standard, last_complaint["tag_count"]).otherwise(
+                F.col("tag_count")
             ),
-        ]
+        }
     )
     label = decode("SRVY_CYC_CD", {"S": "Standard"}, "Complaint")
     return select_cols(rows.withColumn("SRVY_CYC_CD", label), OUTPUT_COLUMNS)

@@ -27,7 +27,7 @@ from gradewell.operators.filters import allow, require
 from gradewell.operators.groups import group_stats, share, total
 from gradewell.operators.joins import star_join
 from gradewell.operators.picks import dedup
-from gradewell.operators.ranks import attach_pct_rank
+from gradewell.operators.ranks import rank_rows
 from gradewell.plans.allegations import latest_allegations
 from gradewell.plans.certifications import latest_certifications
 from gradewell.plans.deficiencies import deficiency_rows, deficiency_summary
@@ -242,38 +242,39 @@ def grade_rows(scored: DataFrame) -> DataFrame:
     """Ranks and letters by ``row_id``, on the columns they need instead of the whole rows.
 
     State ranks use all rows and county ranks those of counties with at least 40
-    providers; then one row per county and provider is kept, and the score
-    differences are ranked within the state and turned into letters.
+    providers. Of these one row per county and provider is kept, and the score
+    differences of the kept rows are ranked within the state and become letters.
     """
-    measures = [m.name for m in MEASURES]
     flags = [*SHARES.values(), *SURVEY_FLAGS, *[spec.small_flag for spec in OUTCOMES.values()]]
     scores = [c for o in OUTCOMES for c in (f"pred_{o}_diff", f"oe_{o}_estimate")]
-    first = ["CRTFCTN_DT", "provider_name", "address", "zip_code"]
-    keys = ["row_id", "state", "County_ID", CCN, "County_count"]
-    df = select_cols(scored, [*keys, *first, *measures, *flags, *scores])
-    df = attach_pct_rank(
-        df, ["state"], {m.state_rank: m.name for m in MEASURES}, row_key="row_id"
-    )
-    df = attach_pct_rank(
-        df,
-        ["County_ID"],
-        {m.county_rank: m.name for m in MEASURES},
-        min_size=("County_count", MIN_COUNTY),
-        row_key="row_id",
-    )
-    df = dedup(df, ["County_ID", CCN], [*first, "row_id"])
-    df = attach_pct_rank(
-        df,
-        ["state"],
-        {spec.percentile: f"pred_{o}_diff" for o, spec in OUTCOMES.items()},
-        rounded=False,
-        row_key="row_id",
-    )
+    first = ["CRTFCTN_DT", "provider_name", "address", "zip_code", "row_id"]
+    kept = select_cols(scored, ["state", "County_ID", CCN, *first, *flags, *scores])
+    kept = pin(dedup(kept, ["County_ID", CCN], first).drop(CCN, *first[:-1]))
+    ranks = [
+        rank_rows(scored, "row_id", ["state"], {m.state_rank: m.name for m in MEASURES}),
+        rank_rows(
+            scored,
+            "row_id",
+            ["County_ID"],
+            {m.county_rank: m.name for m in MEASURES},
+            min_size=("County_count", MIN_COUNTY),
+        ),
+        rank_rows(
+            kept,
+            "row_id",
+            ["state"],
+            {spec.percentile: f"pred_{o}_diff" for o, spec in OUTCOMES.items()},
+            rounded=False,
+        ),
+    ]
+    graded = kept
+    for columns in ranks:
+        graded = graded.join(columns, "row_id", "left")
     letters = {
         spec.letter: scoring.clamp_letter(scoring.letter_grade(spec.percentile), spec.small_flag)
         for spec in OUTCOMES.values()
     }
-    return derive(df, letters)
+    return derive(graded, letters)
 
 
 def letter_mean(
@@ -287,8 +288,12 @@ def letter_mean(
     return df.join(F.broadcast(means), letter, "left")
 
 
-def letter_means(graded: DataFrame) -> DataFrame:
-    """Mean estimate per outcome and letter, at most 9 x 6 rows."""
+def letter_means(graded: DataFrame) -> dict[tuple[str, str], float]:
+    """Mean estimate per outcome and letter.
+
+    Nine outcomes and six letters make at most 54 numbers, so these come to the
+    driver and go back into the plan as constants instead of nine joins.
+    """
     pairs = F.array(
         *[
             F.struct(
@@ -300,21 +305,19 @@ def letter_means(graded: DataFrame) -> DataFrame:
         ]
     )
     long = graded.select(F.inline(pairs))
-    return group_stats(long, ["outcome", "letter"], {"mean": F.avg("estimate")})
+    means = group_stats(long, ["outcome", "letter"], {"mean": F.avg("estimate")})
+    return {(r["outcome"], r["letter"]): r["mean"] for r in means.collect()}
 
 
-def add_rates(df: DataFrame, means: DataFrame) -> DataFrame:
+def add_rates(df: DataFrame, means: Mapping[tuple[str, str], float]) -> DataFrame:
     """Expected rates: letter mean and state median times the base rate."""
-    out = df
     rates = {}
     for o, spec in OUTCOMES.items():
-        mine = means.where(F.col("outcome") == o).select(
-            F.col("letter").alias(spec.letter), F.col("mean").alias(f"oe_{o}_mean")
-        )
-        out = out.join(F.broadcast(mine), spec.letter, "left")
-        rates[f"{spec.rates}_comp_rate"] = F.col(f"oe_{o}_mean") * F.lit(spec.letter_base)
+        mine = {letter: mean for (outcome, letter), mean in means.items() if outcome == o}
+        mean = decode(spec.letter, mine, None)
+        rates[f"{spec.rates}_comp_rate"] = mean * F.lit(spec.letter_base)
         rates[f"{spec.rates}_state_rate"] = F.col(f"oe_{o}_state_median") * F.lit(spec.state_base)
-    return derive(out, rates)
+    return derive(df, rates)
 
 
 def add_published_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
@@ -381,18 +384,20 @@ def score_rows(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFram
 def full_table(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
     """Every stored column of the scorecard.
 
-    Three tables are pinned: the scored rows, their grades, and the few letter
-    means. The wide rows then meet grades and statistics in one pass of joins.
+    The scored rows and their grades are pinned. Statistics and rates
+    join the grades, which are a third as wide; the scored rows are joined once.
     """
     scored = score_rows(tables, asof)
     graded = pin(grade_rows(scored))
-    means = pin(letter_means(graded))
-    grades = graded.select("row_id", *[c for c in graded.columns if c not in scored.columns])
-    rows = scale(scored, [m.name for m in MEASURES], 100).join(grades, "row_id")
-    rows = star_join(
-        rows, [(state_stats(scored), ["state"]), (county_stats(graded), ["County_ID"])], scored
+    ranks = [c for m in MEASURES for c in (m.state_rank, m.county_rank)]
+    letters = [spec.letter for spec in OUTCOMES.values()]
+    grades = select_cols(graded, ["row_id", "state", "County_ID", *ranks, *letters])
+    grades = star_join(
+        grades, [(state_stats(scored), ["state"]), (county_stats(graded), ["County_ID"])]
     )
-    return add_published_text(add_rates(rows, means), asof)
+    grades = add_rates(grades, letter_means(graded)).drop("state", "County_ID")
+    rows = scale(scored, [m.name for m in MEASURES], 100).join(grades, "row_id")
+    return add_published_text(rows, asof)
 
 
 def scorecard(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:

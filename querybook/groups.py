@@ -270,10 +270,10 @@ def pct_rank_many(spark, folder):
     sized = groups.attach(
         ranked_customers(spark, folder), ["c_nationkey"], {"n": F.count("c_custkey")}
     )
-    out = ranks.attach_pct_rank(
-        sized, ["c_nationkey"], RANK_COLS, min_size=("n", 60), row_key="c_custkey"
+    ranked = ranks.rank_rows(
+        sized, "c_custkey", ["c_nationkey"], RANK_COLS, min_size=("n", 60)
     )
-    return out.select("c_custkey", *RANK_COLS)
+    return sized.select("c_custkey").join(ranked, "c_custkey", "left")
 
 
 @register(
