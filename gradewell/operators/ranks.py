@@ -113,7 +113,9 @@ def rank_rows(
         long_values(source, keys, list(measures.values()), row_key),
         ranked.select(*on, "__pct"),
         on,
-        "inner",
+        # Every value has its rank, so this equals an inner join; but only the ranks,
+        # never the long rows, can be the broadcast side.
+        "left",
         with_salts(ranked, on, "__n"),
     )
     # After a broadcast join the values of a row are still in one task and become
