@@ -219,12 +219,10 @@ def attach_lag(
         F.min("__seg").alias("__first_seg"), F.max("__seg").alias("__last_seg")
     )
     spanning = pieces.where(F.col("__first_seg") < F.col("__last_seg")).select(quoted(key))
-    edges = lookup_join(
-        numbered.where((F.col("__from_start") <= depth) | (F.col("__from_end") <= depth)),
-        spanning,
-        [key],
-        "inner",
-    )
+    # At most one key lies across each border, so this list has fewer rows than segments.
+    edges = numbered.where(
+        (F.col("__from_start") <= depth) | (F.col("__from_end") <= depth)
+    ).join(F.broadcast(spanning), key, "left_semi")
     across = edges.withColumns(earlier(Window.partitionBy(quoted(key)).orderBy(*by))).where(
         F.col("__from_start") <= depth
     )

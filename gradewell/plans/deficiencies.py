@@ -15,6 +15,8 @@ from gradewell.operators.filters import distinct_keys, in_cycle_windows, require
 from gradewell.operators.groups import group_stats
 from gradewell.operators.joins import lookup_join
 from gradewell.operators.picks import dedup, first_per_group, rows_of_latest
+from gradewell.sources.sinks import write_by
+from gradewell.specs.publish import STATES
 from gradewell.specs.tags import tag_lists
 
 # Input headers of the two sources (fixed values).
@@ -116,6 +118,11 @@ def deficiency_rows(
     return select_cols(rows.withColumn("SRVY_CYC_CD", label), OUTPUT_COLUMNS)
 
 
+def export_rows(rows: DataFrame, path: str) -> None:
+    """The findings of the published states, one folder of sorted files each."""
+    write_by(rows, "state", STATES, path, ["provider_name", "SRVY_DT", "DFCNCY_TAG_NUM"])
+
+
 def deficiency_summary(rows: DataFrame) -> DataFrame:
     """One row per provider: its earliest survey day in ``rows`` with counts per category."""
     first_row = F.min(

@@ -39,4 +39,5 @@ def write_by(
 def write_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
     """One CSV file for a small table; a table that proves larger is written in parts."""
     small = fits_one_task(df) or df.limit(max_rows + 1).count() <= max_rows
-    (df.coalesce(1) if small else df).write.option("header", True).csv(path)
+    # A shuffle into one partition, so that whatever made these rows stays parallel.
+    (df.repartition(1) if small else df).write.option("header", True).csv(path)

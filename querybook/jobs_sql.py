@@ -178,7 +178,7 @@ def certification_table() -> str:
                {', '.join(num(c, c) for c in CERTIFICATION_COLUMNS[3:])} FROM certification"""
 
 
-AREA = f"""{ctes('provider_zips', 'zip_county')},
+AREA = f"""{ctes('provider_zips')},
 served AS (
     SELECT state || '_' || county AS county_id, {pad('ccn', 6)} AS id, state, county,
            max({pad('z.zip', 5)}) AS zip
@@ -187,7 +187,8 @@ area AS (SELECT *, count(*) OVER (PARTITION BY county_id) AS county_count FROM s
 
 
 def service_area_table() -> str:
-    return f"""WITH {AREA}
+    return f"""WITH {ctes('zip_county')},
+{AREA}
         SELECT county_id AS "County_ID", id AS cms_certification_number_ccn, state, county,
                zip AS zip_code, {num('county_count', 'County_count')} FROM area"""
 
@@ -205,13 +206,6 @@ def state_benchmark_table() -> str:
         SELECT state AS "STATE_ABBREV", {num('rate_adj', 'rate_adj')} FROM benchmark"""
 
 
-def without(text: str, *names: str) -> str:
-    """CTE list with inputs that another list already holds left out."""
-    for name in names:
-        text = text.replace(ctes(name) + ",\n", "")
-    return text
-
-
 def rule_sql(r: Rule) -> str:
     if r.test == "between":
         test = f"{r.column} >= {r.value[0]} AND {r.column} <= {r.value[1]}"
@@ -254,8 +248,6 @@ SHARES = {
     "rehosp_alleg": "rehosp_bin",
     "comp_bin": "comp_binary",
 }
-TITLE = "list_reduce(list_transform(string_split(replace({0}, ',', ' '), '{1}'), lambda w: {2}), lambda a, b: a || '{1}' || b)"
-
 
 def title_sql(c: str) -> str:
     """Capital after a blank, an apostrophe, a hyphen or a hash; enough for the derived names."""
@@ -321,9 +313,9 @@ def scorecard_ctes() -> str:
     survey_numbers = ", ".join(f"TRY_CAST(s.{x.name} AS DOUBLE) AS {x.name}" for x in SURVEY)
     defs = [c for c in TAG_RUNS]
     return f"""{SUMMARY},
-{without(ALLEGATIONS)},
+{ALLEGATIONS},
 {CERTIFICATIONS},
-{without(AREA, 'zip_county').replace(', ' + ctes('zip_county'), '')},
+{AREA},
 {BENCHMARK},
 {ctes('quality_measures')},
 joined AS (

@@ -33,6 +33,7 @@ FORCED = [
     "letter_grade",
     "pct_rank_avg",
     "rows_of_latest_date",
+    "scorecard_table",
     "service_area_table",
     "star_left_join",
 ]
