@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradewell.functions.dates import compact_date
+from gradewell.functions.dates import compact_date, in_lookback
 from gradewell.functions.flags import decode, present
 from gradewell.functions.text import pad_code, tag_code
 from gradewell.operators.columns import normalize_headers, rename, select_cols, union_all
@@ -90,6 +90,8 @@ def deficiency_rows(
             "DFCNCY_TAG_NUM": tag_code("DFCNCY_PREX_CD", "DFCNCY_TAG_NUM"),
         }
     )
+    # The day is part of the key below, so days no window reaches can go before the joins.
+    found = found.where(in_lookback("SRVY_DT", asof, max(CYCLE_MONTHS.values())))
     found = require(found, ["DFCNCY_TAG_NUM"]).drop("DFCNCY_PREX_CD")
     found = lookup_join(found, surveyed_providers(survey, zip_county), ["PRVDR_NUM"], "inner")
     # The cycle is not part of this key: a tag cited in both cycles on one day
