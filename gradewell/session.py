@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,20 +27,11 @@ def session(app: str = "gradewell", **overrides: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read: ``spark.checkpoint.dir``.
 
-    Only a local master may run without it; it then gets a fresh temporary
-    folder of its own.
+    Where it is unset, as in tests, a folder in the warehouse, which is shared
+    by definition.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="gradewell-"))
-    return context.getCheckpointDir().rstrip("/")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_pinned").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
