@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gradewell.llm import substring
+import public_tokenizers
+from gradewell.llm import packing, substring
 from gradewell.llm.tables import load
 
 QUERIES: dict = {}
@@ -36,3 +37,8 @@ def query(sql: str | None = None):
 )
 def op1_substring_dedup(spark, folder):
     return substring.substring_dedup(load(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op2_best_fit_packing(spark, folder):
+    return packing.best_fit_packing(load(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
