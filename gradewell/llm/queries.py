@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from gradewell.llm import packing, substring
+from gradewell.llm import fingerprint, license, packing, substring
 from gradewell.llm.tables import load
 
 QUERIES: dict = {}
@@ -42,3 +42,13 @@ def op1_substring_dedup(spark, folder):
 @query()
 def op2_best_fit_packing(spark, folder):
     return packing.best_fit_packing(load(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op8_license_scan(spark, folder):
+    return license.scan(load(spark, folder, "documents"))
+
+
+@query()
+def op10_fingerprint(spark, folder):
+    return fingerprint.fingerprint_edited(load(spark, folder, "documents"))
