@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from gradewell.llm import fingerprint, license, packing, substring
+from gradewell.llm import fingerprint, license, lines, packing, substring
 from gradewell.llm.tables import load
 
 QUERIES: dict = {}
@@ -52,3 +52,26 @@ def op8_license_scan(spark, folder):
 @query()
 def op10_fingerprint(spark, folder):
     return fingerprint.fingerprint_edited(load(spark, folder, "documents"))
+
+
+@query(
+    r"""WITH l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line
+              FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+    w AS (SELECT *, regexp_extract_all(line, '[^ 	-]+') AS words FROM l),
+    c AS (SELECT *, len(words) AS n, row_number() OVER (PARTITION BY words ORDER BY doc_id, pos) AS copy FROM w),
+    d AS (SELECT words, n, doc_id * 100000000 + pos AS place FROM c WHERE copy = 1 AND n >= 8),
+    v AS (SELECT words, n, place, i, list_concat(words[1:i - 1], words[i + 1:]) AS cut
+          FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM d)),
+    s AS (SELECT place, min(place) OVER (PARTITION BY n, i, cut) AS other FROM v),
+    x AS (SELECT v.place AS longer, d.place AS shorter FROM v JOIN d ON v.cut = d.words),
+    near AS (SELECT place FROM s WHERE other < place
+             UNION SELECT longer FROM x WHERE shorter < longer
+             UNION SELECT shorter FROM x WHERE longer < shorter)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM (SELECT *, n > 0 AND (copy > 1 OR doc_id * 100000000 + pos IN (SELECT place FROM near)) AS gone FROM c)
+    GROUP BY doc_id"""
+)
+def op4_line_dedup(spark, folder):
+    docs = lines.line_dedup(load(spark, folder, "documents"))
+    return docs.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
