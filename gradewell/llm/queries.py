@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from gradewell.llm import fingerprint, license, lines, packing, substring
+from gradewell.llm import bpe, fingerprint, license, lines, packing, substring
 from gradewell.llm.tables import load
 
 QUERIES: dict = {}
@@ -57,7 +57,8 @@ def op10_fingerprint(spark, folder):
 @query(
     r"""WITH l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line
               FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
-    w AS (SELECT *, regexp_extract_all(line, '[^ 	-]+') AS words FROM l),
+    w AS (SELECT *, regexp_extract_all(line, '[^ 	-
+]+') AS words FROM l),
     c AS (SELECT *, len(words) AS n, row_number() OVER (PARTITION BY words ORDER BY doc_id, pos) AS copy FROM w),
     d AS (SELECT words, n, doc_id * 100000000 + pos AS place FROM c WHERE copy = 1 AND n >= 8),
     v AS (SELECT words, n, place, i, list_concat(words[1:i - 1], words[i + 1:]) AS cut
@@ -75,3 +76,8 @@ def op10_fingerprint(spark, folder):
 def op4_line_dedup(spark, folder):
     docs = lines.line_dedup(load(spark, folder, "documents"))
     return docs.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op9_byte_bpe(spark, folder):
+    return bpe.encode(load(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
