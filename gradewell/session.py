@@ -39,12 +39,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written table.
 
     Used where several branches must see the same rows (segment numbers of a
-    range partitioning) or where a deep plan would otherwise run again.
+    range partitioning) or where a deep plan would otherwise run again. The
+    shuffle files of the finished write are given back at once.
     """
-    path = scratch_path(df.sparkSession, "pinned")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, "pinned")
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
