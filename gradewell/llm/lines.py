@@ -39,18 +39,17 @@ def line_list(text: str = "text") -> Column:
 
 
 def half_keys(hashes: Column, n: Column) -> Column:
-    """Keys of both halves for the line's own length and, against lines one word shorter, one less."""
+    """Keys of both halves: numbers 0 and 1 at the line's own length, 2 and 3 against lines one word shorter."""
 
-    def keys(m: Column) -> list[Column]:
+    def keys(m: Column, number: int) -> list[Column]:
         half = F.floor(m / 2).cast("int")
         rest = (m - half).cast("int")
-        return [
-            F.xxhash64(F.lit(0), m, F.slice(hashes, F.lit(1), half)),
-            F.xxhash64(F.lit(1), m, F.slice(hashes, (n - rest + 1).cast("int"), rest)),
-        ]
+        parts = F.slice(hashes, F.lit(1), half), F.slice(hashes, (n - rest + 1).cast("int"), rest)
+        return [F.struct(F.lit(number + i).cast("byte").alias("number"), F.xxhash64(F.lit(i), m, x).alias("half")) for i, x in enumerate(parts)]
 
-    own = F.when(n >= SHORTEST, F.array(*keys(n))).otherwise(F.array().cast("array<bigint>"))
-    return F.concat(own, F.when(n > SHORTEST, F.array(*keys(n - 1))).otherwise(F.array().cast("array<bigint>")))
+    none = F.array().cast("array<struct<number:tinyint,half:bigint>>")
+    own = F.when(n >= SHORTEST, F.array(*keys(n, 0))).otherwise(none)
+    return F.concat(own, F.when(n > SHORTEST, F.array(*keys(n - 1, 2))).otherwise(none))
 
 
 def line_table(texts: DataFrame) -> DataFrame:
@@ -68,29 +67,60 @@ def line_table(texts: DataFrame) -> DataFrame:
     )
 
 
+def candidates(table: DataFrame) -> DataFrame:
+    """Per line hash, which variants can meet another line.
+
+    Two lines of one length, or one and a longer one, must share a half; the
+    edit is then in the other half. ``early`` and ``late`` ask for replacement
+    variants, ``cut_early`` and ``cut_late`` for deletions, ``whole`` for the line.
+    """
+    halves = table.select("h", F.explode("halves").alias("k")).select("h", "k.number", "k.half")
+    own = F.when(F.col("number") < 2, F.col("h"))
+    shared = (
+        halves.groupBy("half")
+        .agg(F.min(own).alias("a"), F.max(own).alias("b"), F.max("number").alias("most"))
+        .select("half", F.coalesce(F.col("a") != F.col("b"), F.lit(False)).alias("equal"), (F.col("a").isNotNull() & (F.col("most") >= 2)).alias("longer"))
+        .where("equal OR longer")
+    )
+    number = F.col("number")
+    flags = {
+        "late": (number == 0) & F.col("equal"),
+        "early": (number == 1) & F.col("equal"),
+        "cut_late": (number == 2) & F.col("longer"),
+        "cut_early": (number == 3) & F.col("longer"),
+        "whole": (number < 2) & F.col("longer"),
+    }
+    met = halves.join(shared, "half").groupBy("h").agg(*[F.max(c).alias(name) for name, c in flags.items()])
+    return met.where(" OR ".join(flags))
+
+
 def variant_rows(lines: DataFrame) -> DataFrame:
-    """Hashed keys of each line: role 0 a variant by place, 1 a variant, 2 the whole line."""
-    word = lines.select("h", "g", "id", "pos", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
-    line = Window.partitionBy("h", "g")
+    """Hashed keys of each line's variants: role 0 by place, 1 against whole lines, 2 the whole line."""
+    flags = ["early", "late", "cut_early", "cut_late", "whole"]
+    word = lines.select("id", "pos", "h", "g", *flags, F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
+    line = Window.partitionBy("id", "pos", "h", "g")
     upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     left, right = F.xxhash64("word", "i"), F.xxhash64("word", F.col("i") - 1)
-    run = word.select(
+    run = word.select("id", "pos", "h", "g", *flags, "n", "i", left.alias("z0"), right.alias("z1")).select(
         "*",
-        left.alias("z0"),
-        F.bit_xor(left).over(upto).alias("x0"),
-        F.bit_xor(right).over(upto).alias("x1"),
-        F.bit_xor(left).over(line).alias("t0"),
-        F.bit_xor(right).over(line).alias("t1"),
+        F.bit_xor("z0").over(upto).alias("x0"),
+        F.bit_xor("z1").over(upto).alias("x1"),
+        F.bit_xor("z0").over(line).alias("t0"),
+        F.bit_xor("z1").over(line).alias("t1"),
     )
     variant = F.col("x0").bitwiseXOR(F.col("z0")).bitwiseXOR(F.col("t1")).bitwiseXOR(F.col("x1"))
+    half, cut = F.floor(F.col("n") / 2), F.floor((F.col("n") - 1) / 2)
+    i = F.col("i")
+    replaced = F.when(i >= half, F.col("late")).otherwise(F.col("early"))
+    deleted = (F.col("cut_late") & (i >= cut)) | (F.col("cut_early") & (i <= cut))
 
     def row(role: int, key: Column) -> Column:
-        return F.struct(F.lit(role).alias("role"), key.alias("key"))
+        return F.struct(F.lit(role).cast("byte").alias("role"), key.alias("key"))
 
     rows = F.array(
-        row(0, F.xxhash64(F.lit(0), variant, "i", "n")),
-        F.when(F.col("n") > SHORTEST, row(1, F.xxhash64(F.lit(1), variant, F.col("n") - 1))),
-        F.when(F.col("i") == 0, row(2, F.xxhash64(F.lit(1), "t0", "n"))),
+        F.when(replaced, row(0, F.xxhash64(F.lit(0), variant, "i", "n"))),
+        F.when(deleted, row(1, F.xxhash64(F.lit(1), variant, F.col("n") - 1))),
+        F.when(F.col("whole") & (i == 0), row(2, F.xxhash64(F.lit(1), "t0", "n"))),
     )
     place = F.struct("id", "pos", "h", "g", "i").alias("line")
     return run.select(place, F.explode(F.array_compact(rows)).alias("r")).select("line", "r.role", "r.key")
@@ -139,14 +169,13 @@ def repeated_lines(texts: DataFrame) -> DataFrame:
     table = pin(line_table(texts))
     first = table.groupBy("h", "g").agg(F.min(F.struct("id", "pos", "key")).alias("first"))
     later = table.select("id", "key", "pos", "h", "g").join(first, ["h", "g"]).where(F.struct("id", "pos") != F.struct("first.id", "first.pos"))
-    halves = table.select("h", "g", F.explode(F.array_distinct("halves")).alias("half"))
-    shared = halves.groupBy("half").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("half")
-    some = halves.join(shared, "half", "left_semi").select("h", "g").distinct()
-    wanted = first.join(some, ["h", "g"]).select("first.id", "first.key", F.struct("first.pos", "h", "g").alias("at"))
+    wanted = first.join(candidates(table), "h").select(
+        "first.id", "first.key", F.struct("first.pos", "h", "g", "early", "late", "cut_early", "cut_late", "whole").alias("at")
+    )
     per_text = wanted.groupBy("id", "key").agg(F.collect_list("at").alias("ats"))
     found = texts.join(per_text, ["id", "key"]).select("id", "key", line_list().alias("lines"), F.explode("ats").alias("at"))
     lines = pin(
-        found.select("id", "key", "at.*", split_words(F.get("lines", F.col("at.pos"))).alias("words")).dropDuplicates(["h", "g"])
+        found.select("id", "key", "at.*", split_words(F.get("lines", F.col("at.pos"))).alias("words"))
     )
     near = near_lines(lines).join(lines.select("h", "g", "id", "key", "pos"), ["h", "g"]).select("id", "key", "pos")
     return later.select("id", "key", "pos").unionByName(near)
@@ -156,7 +185,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with n_lines, n_removed and kept_text, the lines that stay; other columns are left alone."""
     keyed = docs.withColumns({"__id": row_id(), "__key": text_key()})
     texts = keyed.select(F.col("__id").alias("id"), F.col("__key").alias("key"), "text")
-    gone = repeated_lines(texts).groupBy("id", "key").agg(F.collect_set("pos").alias("__gone"))
+    gone = pin(repeated_lines(texts).groupBy("id", "key").agg(F.collect_set("pos").alias("__gone")))
     gone = gone.withColumnsRenamed({"id": "__id", "key": "__key"})
     joined = keyed.join(gone, ["__id", "__key"], "left").withColumn("__lines", line_list())
     places = F.sequence(F.lit(0), F.size("__lines") - 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from gradewell.llm import bpe, fingerprint, license, lines, packing, substring
+from gradewell.llm import bpe, fingerprint, license, lines, packing, private, substring, toxicity
 from gradewell.llm.tables import load
 
 QUERIES: dict = {}
@@ -81,3 +81,18 @@ def op4_line_dedup(spark, folder):
 @query()
 def op9_byte_bpe(spark, folder):
     return bpe.encode(load(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query()
+def op3_private_data(spark, folder):
+    found = private.find_private(load(spark, folder, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+@query()
+def op5_toxicity(spark, folder):
+    docs, labels = load(spark, folder, "documents"), load(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.fit(docs, labels.where(~held_out).select("doc_id", "toxic"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
