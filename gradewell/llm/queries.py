@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from gradewell.llm import bpe, fingerprint, license, lines, packing, private, substring, toxicity
+from gradewell.llm import bpe, fingerprint, license, lines, minhash, packing, private, substring, toxicity
 from gradewell.llm.tables import load
 
 QUERIES: dict = {}
@@ -96,3 +96,8 @@ def op5_toxicity(spark, folder):
     model = toxicity.fit(docs, labels.where(~held_out).select("doc_id", "toxic"))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op6_minhash(spark, folder):
+    return minhash.classify(load(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "stays")
