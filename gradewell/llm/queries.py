@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from gradewell.llm import bpe, fingerprint, license, lines, minhash, packing, private, substring, toxicity
+from gradewell.llm import bpe, fingerprint, license, lines, minhash, neighbours, packing, private, substring, toxicity
 from gradewell.llm.tables import load
 
 QUERIES: dict = {}
@@ -101,3 +101,9 @@ def op5_toxicity(spark, folder):
 @query()
 def op6_minhash(spark, folder):
     return minhash.classify(load(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "stays")
+
+
+@query()
+def op7_neighbours(spark, folder):
+    rows = load(spark, folder, "embeddings")
+    return neighbours.nearest(rows, rows.where("vec_id % 20 = 0").select(F.col("vec_id").cast("long").alias("query_id")).distinct())
