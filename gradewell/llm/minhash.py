@@ -200,7 +200,12 @@ def near_duplicates(docs: DataFrame, like: float = LIKE) -> DataFrame:
 
 
 def classify(docs: DataFrame, like: float = LIKE) -> DataFrame:
-    """``docs`` with class_id (the least doc_id of the class), n_links and whether the row is the one that stays."""
+    """``docs`` with class_id (the least doc_id of the class), n_links and stays, true for the class's first text.
+
+    Old columns of these three names are replaced. A class of rows without id has
+    the largest long as its id.
+    """
+    docs = docs.drop("class_id", "n_links", "stays")
     classes = near_duplicates(docs, like).withColumnsRenamed({"id": "__id", "key": "__key"})
     keyed = docs.withColumns({"__id": row_id(), "__key": text_key()})
     stays = (F.col("__id") == F.col("class_id")) & (F.col("__key") == F.col("class_key"))

@@ -10,7 +10,7 @@ when its marginal reaches ``SURE``.
 
 The field is trained on the base spans of at most ``TRAIN_UNITS`` units, taken
 by the smallest hashes of their documents: form weights by multinomial
-regression in which the telling mark of a kind (plus sign, at sign, check digit)
+regression, where the telling mark of a kind (plus sign, at sign, check digit)
 is hidden in a copy of each span, edge potentials by counting label pairs.
 A unit is linked to the previous one with its key, so a text with many repeats
 has as many links as units.
@@ -34,7 +34,7 @@ from gradewell.llm.text import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-TRAIN_UNITS, SURE, ROUNDS, NEAR = 20_000, 0.8, 8, 40
+TRAIN_UNITS, SURE, ROUNDS, NEAR, STRAY = 20_000, 0.8, 8, 40, 0.05
 
 # Fixed patterns of the base spans. Each starts where its run of characters starts.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -217,32 +217,42 @@ def links(rows: list[list[dict]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(rows: list[list[dict]]) -> Field:
-    """Weights from the units of sampled documents; a unit without a base span counts as none."""
+    """Weights from the units of sampled documents.
+
+    A unit without a base span counts as none, unless a base span of its document
+    has its key: what such a repeat is, is the question, so it teaches nothing.
+    Skip potentials come from pairs of base spans; a repeat is none by ``STRAY``.
+    """
     every = [u for found in rows for u in found]
+    named = [{u["key"] for u in found if u["label"] >= 0} for found in rows]
+    open_units = [u["label"] < 0 and u["key"] in keys for found, keys in zip(rows, named, strict=True) for u in found]
     x = np.array([u["form"] for u in every]).reshape(-1, FORMS)
     y = np.array([max(u["label"], 0) for u in every], np.int64)
     hidden = [(i, TELLING[k - 1]) for i, k in enumerate(y) if k - 1 in TELLING]
     masked = x[[i for i, _ in hidden]].copy()
     masked[range(len(hidden)), [m for _, m in hidden]] = 0
-    x, labels = np.concatenate((x, masked)), np.concatenate((y, y[[i for i, _ in hidden]]))
+    teach = ~np.array(open_units, bool)
+    forms, labels = np.concatenate((x[teach], masked)), np.concatenate((y[teach], y[[i for i, _ in hidden]]))
     weights = np.zeros((FORMS, len(LABELS)))
-    for _ in range(300 if len(x) else 0):
-        score = x @ weights
+    for _ in range(300 if len(forms) else 0):
+        score = forms @ weights
         p = np.exp(score - np.logaddexp.reduce(score, axis=1, keepdims=True))
-        p[np.arange(len(x)), labels] -= 1
-        weights -= 2.0 * (x.T @ p / len(x) + 1e-4 * weights)
+        p[np.arange(len(forms)), labels] -= 1
+        weights -= 2.0 * (forms.T @ p / len(forms) + 1e-4 * weights)
     edges, is_skip = links(rows)
-    tables = []
-    for some in (~is_skip, is_skip):
-        counts = np.ones((len(LABELS), len(LABELS)))
-        np.add.at(counts, (y[edges[some, 0]], y[edges[some, 1]]), 1)
-        counts = counts + counts.T
-        tables.append(np.log(counts / counts.sum()) - np.log(counts.sum(1) / counts.sum())[:, None] - np.log(counts.sum(0) / counts.sum())[None, :])
-    # A repeat tells of its kind: agreement never counts below the chance of a label, and none is no evidence.
-    skip = np.maximum(tables[1], -3.0)
-    skip[0, :] = skip[:, 0] = np.minimum(skip[0, :], 0.0)
-    skip[0, 0] = 0.0
-    return Field(weights, 0.25 * tables[0], skip)
+    kinds = len(LABELS)
+    chain, skip = np.ones((kinds, kinds)), np.ones((kinds, kinds)) + 4 * np.eye(kinds)
+    both = (y[edges] > 0).all(1)
+    near = ~is_skip & teach[edges].all(1)
+    np.add.at(chain, (y[edges[near, 0]], y[edges[near, 1]]), 1)
+    np.add.at(skip, (y[edges[is_skip & both, 0]], y[edges[is_skip & both, 1]]), 1)
+    chain, skip = chain + chain.T, (skip + skip.T)[1:, 1:]
+    share = chain.sum(1) / chain.sum()
+    alike = np.zeros((kinds, kinds))
+    agree = skip / skip.sum(1, keepdims=True)
+    alike[1:, 1:] = np.log(kinds * (agree + agree.T) / 2)
+    alike[0, 1:] = alike[1:, 0] = np.log(kinds * STRAY)
+    return Field(weights, 0.25 * np.log(chain / chain.sum() / share[:, None] / share[None, :]), alike)
 
 
 def sample(found: DataFrame, most: int = TRAIN_UNITS) -> list[list[dict]]:

@@ -214,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score``; every other column stays."""
+    """``docs`` with ``score``; other columns stay, old ones named score or features are replaced."""
+    docs = docs.drop("score", "features")
     read = with_features(docs, model.lexicon, docs.columns)
     total = sum((F.col("features")[i] * w for i, w in enumerate(model.weights)), F.lit(0.0))
     return read.select(*[F.col(f"`{c}`") for c in docs.columns], (1 / (1 + F.exp(-total))).alias("score"))
