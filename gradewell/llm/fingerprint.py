@@ -97,10 +97,11 @@ def fingerprint_edited(docs: DataFrame, k: int = K) -> DataFrame:
     have no next document: the tail goes and nothing comes.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    order = pin(next_ids(docs))
-    source = texts.withColumnRenamed("doc_id", "next_id")
-    lent = with_sketch(source.join(order, "next_id"), "text", "next_sketch", k).select(
-        "doc_id",
+    known = texts.where("doc_id IS NOT NULL")
+    # Both joins deal out the same columns by the same key, so the texts are shuffled once.
+    order = pin(next_ids(docs)).select(F.col("doc_id").alias("borrower"), F.col("next_id").alias("doc_id"), "longest")
+    lent = with_sketch(known.join(order, "doc_id"), "text", "next_sketch", k).select(
+        F.col("borrower").alias("doc_id"),
         F.struct(
             F.xxhash64("text").alias("hash"),
             F.left("text", F.floor(F.col("longest") / 3).cast("int")).alias("head"),
@@ -111,7 +112,8 @@ def fingerprint_edited(docs: DataFrame, k: int = K) -> DataFrame:
     n = F.char_length("text")
     tail = F.floor(n / 3).cast("int")
     edited = F.concat(F.left("text", n - tail), F.coalesce(F.left("head", tail), F.lit("")))
-    joined = texts.join(one, "doc_id", "left").withColumn("edited", edited)
+    nameless = texts.where("doc_id IS NULL").select("*", F.lit(None).cast("string").alias("head"), F.lit(None).cast("array<bigint>").alias("next_sketch"))
+    joined = known.join(one, "doc_id", "left").unionByName(nameless).withColumn("edited", edited)
     sketched = with_sketch(with_sketch(joined, "text", "sketch", k), "edited", "edited_sketch", k)
     return sketched.select(
         "doc_id",
