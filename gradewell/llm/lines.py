@@ -5,7 +5,7 @@ Lines are compared as word sequences. A line goes if an earlier line, by
 left out or replaced) and both have at least ``SHORTEST`` words. Lines are
 judged on the input. Lines without words stay.
 
-1. Equal lines: an aggregate finds the first of each 128-bit word hash.
+1. Equal lines: an aggregate finds the first of each 96-bit hash of the words.
 2. Two lines within one edit share the first half or the rest of the shorter
    one's length, so lines whose half keys nobody shares need no variants. This
    is exact and leaves a small part of a corpus.
@@ -24,16 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradewell.llm.fingerprint import SPACE
+from gradewell.llm.fingerprint import split_words
 from gradewell.llm.tables import pin, row_id, text_key
 
 SHORTEST = 8
 
 
-def split_words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
-
-
 def line_list(text: str = "text") -> Column:
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
 
@@ -62,7 +58,7 @@ def line_table(texts: DataFrame) -> DataFrame:
         "key",
         "pos",
         F.xxhash64("hashes").alias("h"),
-        F.xxhash64(F.array_join("words", " ")).alias("g"),
+        F.hash("hashes").alias("g"),
         half_keys(F.col("hashes"), F.size("words")).alias("halves"),
     )
 
@@ -175,14 +171,18 @@ def repeated_lines(texts: DataFrame) -> DataFrame:
     per_text = wanted.groupBy("id", "key").agg(F.collect_list("at").alias("ats"))
     found = texts.join(per_text, ["id", "key"]).select("id", "key", line_list().alias("lines"), F.explode("ats").alias("at"))
     lines = pin(
-        found.select("id", "key", "at.*", split_words(F.get("lines", F.col("at.pos"))).alias("words"))
+        found.select("id", "key", "at.*", split_words(F.get("lines", F.col("at.pos"))).alias("words")).dropDuplicates(["h", "g"])
     )
     near = near_lines(lines).join(lines.select("h", "g", "id", "key", "pos"), ["h", "g"]).select("id", "key", "pos")
     return later.select("id", "key", "pos").unionByName(near)
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_lines, n_removed and kept_text, the lines that stay; other columns are left alone."""
+    """``docs`` with n_lines, n_removed and kept_text, the lines that stay.
+
+    Other columns stay; old ones of these three names are replaced.
+    """
+    docs = docs.drop("n_lines", "n_removed", "kept_text")
     keyed = docs.withColumns({"__id": row_id(), "__key": text_key()})
     texts = keyed.select(F.col("__id").alias("id"), F.col("__key").alias("key"), "text")
     gone = pin(repeated_lines(texts).groupBy("id", "key").agg(F.collect_set("pos").alias("__gone")))
