@@ -9,16 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradewell.functions.text import column
+from gradewell.functions.text import column, to_int_text
 
 
-def to_number(c: Column | str) -> Column:
-    return column(c).try_cast("double")
+__all__ = ["drop_nan", "ratio", "round_even", "row_mean", "to_int_text", "to_number"]
 
 
-def to_int_text(c: Column | str) -> Column:
-    """Number to whole-number text, missing to ``0``."""
-    return F.coalesce(column(c).cast("bigint"), F.lit(0)).cast("string")
+def to_number(c: Column | str) -> Column:
+    return column(c).try_cast("double")
 
 
 def ratio(top: Column | str, bottom: Column | str, scale: float = 1.0) -> Column:

@@ -56,12 +56,17 @@ def swap(c: Column | str, old: str, new: str) -> Column:
     return F.replace(column(c), F.lit(old), F.lit(new))
 
 
+def to_int_text(c: Column | str) -> Column:
+    """Number to whole-number text; missing and bad numbers to ``0``."""
+    return F.coalesce(column(c).try_cast("bigint"), F.lit(0)).cast("string")
+
+
 def tag_code(prefix: Column | str, number: Column | str) -> Column:
-    """``G`` and ``100`` to ``G-0100``; NULL for a missing, zero or over-long number.
+    """``G`` and ``100`` to ``G-0100``; NULL for a missing, bad, zero or over-long number.
 
     A number arriving as a double loses its fraction first; text is kept as is.
     """
-    digits = F.coalesce(column(number).cast("bigint"), F.lit(0)).cast("string")
+    digits = to_int_text(number)
     fits = (digits != "0") & (F.length(digits) <= 4)
     return F.when(fits, F.concat(column(prefix), F.lit("-"), F.lpad(digits, 4, "0")))
 

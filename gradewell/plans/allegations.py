@@ -37,8 +37,8 @@ def latest_allegations(details: DataFrame, asof: dt.date | str) -> DataFrame:
     dated = details.select(
         pad_code("PRVDR_CCN", 6).alias("PRVDR_NUM"),
         compact_date("CLNDR_EXIT_DT_SK").alias("EXIT_DT"),
-        F.col("ALGTN_TYPE_CD").cast("int").alias("ALGTN_TYPE_CD"),
-        F.col("ALGTN_FNDNG_CD").cast("int").alias("ALGTN_FNDNG_CD"),
+        F.col("ALGTN_TYPE_CD").try_cast("int").alias("ALGTN_TYPE_CD"),
+        F.col("ALGTN_FNDNG_CD").try_cast("int").alias("ALGTN_FNDNG_CD"),
     )
     dated = require(dated.where(in_lookback("EXIT_DT", asof, LOOKBACK_MONTHS)), ["ALGTN_TYPE_CD"])
     # One row per allegation type and day, the lowest finding where there are several.

@@ -64,6 +64,8 @@ def latest_certifications(certifications: DataFrame) -> DataFrame:
         F.col("CRTFCTN_DT").desc_nulls_last(),
         F.col("CRTFCTN_UPDT_DT").desc_nulls_last(),
         F.col("CNSUS_ADMSN_UNDUPD_CNT").desc_nulls_last(),
+        # Ends in the whole row, so only equal rows tie.
+        *[F.col(f"`{c}`").desc_nulls_last() for c in sorted(dated.columns)],
     ]
     last_three = top_n_per_group(require(dated, ["PRVDR_NUM"]), ["PRVDR_NUM"], newest_first, 3)
     back = Window.partitionBy("PRVDR_NUM").orderBy("__rn")

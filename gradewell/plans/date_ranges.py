@@ -20,5 +20,5 @@ def measure_date_ranges(ranges: DataFrame) -> DataFrame:
     return exclude_matching(require(table, ["measure_name"]), "measure_name", EXCLUDED_WORDS)
 
 
-def export_date_ranges(ranges: DataFrame, path: str) -> None:
-    write_single(measure_date_ranges(ranges), path)
+def export_date_ranges(ranges: DataFrame, path: str, files: int = 1) -> None:
+    write_single(measure_date_ranges(ranges), path, files)

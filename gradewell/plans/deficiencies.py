@@ -11,13 +11,14 @@ from gradewell.functions.dates import compact_date, in_lookback
 from gradewell.functions.flags import decode, present
 from gradewell.functions.text import pad_code, tag_code
 from gradewell.operators.columns import normalize_headers, rename, select_cols, union_all
-from gradewell.operators.filters import distinct_keys, in_cycle_windows, require
+from gradewell.operators.filters import allow, distinct_keys, in_cycle_windows, require
 from gradewell.operators.groups import group_stats
 from gradewell.operators.joins import lookup_join
 from gradewell.operators.picks import dedup, first_per_group, rows_of_latest
+from gradewell.session import pin
 from gradewell.sources.sinks import write_by
 from gradewell.specs.publish import STATES
-from gradewell.specs.tags import tag_lists
+from gradewell.specs.tags import TAG_LISTS
 
 # Input headers of the two sources (fixed values).
 STANDARD_NAMES = {
@@ -122,7 +123,7 @@ def deficiency_rows(
 
 def export_rows(rows: DataFrame, path: str) -> None:
     """The findings of the published states, one folder of sorted files each."""
-    write_by(rows, "state", STATES, path, ["provider_name", "SRVY_DT", "DFCNCY_TAG_NUM"])
+    write_by(pin(allow(rows, "state", STATES)), "state", STATES, path, ["provider_name", "SRVY_DT", "DFCNCY_TAG_NUM"])
 
 
 def deficiency_summary(rows: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def deficiency_summary(rows: DataFrame) -> DataFrame:
         ["PRVDR_NUM", "SRVY_DT"],
         {
             "def_total": F.count(tag),
-            **{name: F.count_if(tag.isin(tags)) for name, tags in tag_lists().items()},
+            **{name: F.count_if(tag.isin(tags)) for name, tags in TAG_LISTS.items()},
             "first_row": first_row,
         },
     )

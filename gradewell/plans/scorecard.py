@@ -34,14 +34,14 @@ from gradewell.plans.deficiencies import deficiency_rows, deficiency_summary
 from gradewell.plans.service_area import service_area, state_benchmark
 from gradewell.session import pin
 from gradewell.sources.sinks import write_by
-from gradewell.specs.measures import EMERGENCY, MEASURES, READMITTED
+from gradewell.specs.measures import EMERGENCY as EMERGENCY_HEADER
+from gradewell.specs.measures import MEASURES
+from gradewell.specs.measures import READMITTED as READMITTED_HEADER
 from gradewell.specs.models import OUTCOMES, Outcome
 from gradewell.specs.publish import NETWORK_COLUMNS, SCORECARD_COLUMNS, STATES
 from gradewell.specs.rules import RULES
 
 CCN = "cms_certification_number_ccn"
-EMERGENCY_HEADER = "".join(EMERGENCY)
-READMITTED_HEADER = "".join(READMITTED)
 MIN_COUNTY = 40
 
 # Service columns shared by the quality and the patient-survey table (fixed values).
@@ -247,9 +247,11 @@ def grade_rows(scored: DataFrame) -> DataFrame:
     """
     flags = [*SHARES.values(), *SURVEY_FLAGS, *[spec.small_flag for spec in OUTCOMES.values()]]
     scores = [c for o in OUTCOMES for c in (f"pred_{o}_diff", f"oe_{o}_estimate")]
-    first = ["CRTFCTN_DT", "provider_name", "address", "zip_code", "row_id"]
-    kept = select_cols(scored, ["state", "County_ID", CCN, *first, *flags, *scores])
-    kept = pin(dedup(kept, ["County_ID", CCN], first).drop(CCN, *first[:-1]))
+    first = ["CRTFCTN_DT", "provider_name", "address", "zip_code"]
+    kept = select_cols(scored, ["state", "County_ID", CCN, *first, *flags, *scores, "row_id"])
+    # The row number only parts rows that are equal in all that is kept of them.
+    order = [*first, *dict.fromkeys([*flags, *scores]), "row_id"]
+    kept = pin(dedup(kept, ["County_ID", CCN], order).drop(CCN, *first))
     ranks = [
         rank_rows(scored, "row_id", ["state"], {m.state_rank: m.name for m in MEASURES}),
         rank_rows(
@@ -400,18 +402,23 @@ def full_table(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFram
     return add_published_text(rows, asof)
 
 
+def published(full: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns of an extract, measures under their source headers."""
+    return select_cols(rename(full, {m.name: m.header for m in MEASURES}), columns)
+
+
 def scorecard(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
-    return select_cols(full_table(tables, asof), SCORECARD_COLUMNS)
+    return published(full_table(tables, asof), SCORECARD_COLUMNS)
 
 
 def network(full: DataFrame) -> DataFrame:
-    return select_cols(full, NETWORK_COLUMNS)
+    return published(full, NETWORK_COLUMNS)
 
 
 def publish(full: DataFrame, folder: str) -> None:
     """Both extracts, one folder of sorted CSV files per published state."""
     columns = [*SCORECARD_COLUMNS, *NETWORK_COLUMNS]
-    rows = pin(allow(select_cols(full, columns), "state", STATES))
+    rows = pin(allow(published(full, list(dict.fromkeys(columns))), "state", STATES))
     write_by(
         select_cols(rows, SCORECARD_COLUMNS),
         "state",
@@ -420,5 +427,5 @@ def publish(full: DataFrame, folder: str) -> None:
         ["Ecosystem_Name", "provider_name", "CMS_ID"],
     )
     write_by(
-        network(rows), "state", STATES, f"{folder}/network", ["county", "provider_name", "CMS_ID"]
+        select_cols(rows, NETWORK_COLUMNS), "state", STATES, f"{folder}/network", ["county", "provider_name", "CMS_ID"]
     )

@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame
 
 from gradewell.operators.columns import quoted
 from gradewell.operators.filters import allow
-from gradewell.operators.joins import fits_one_task
-
-# A single file is only written for tables up to this many rows.
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_by(
@@ -36,8 +32,10 @@ def write_by(
     )
 
 
-def write_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One CSV file for a small table; a table that proves larger is written in parts."""
-    small = fits_one_task(df) or df.limit(max_rows + 1).count() <= max_rows
-    # A shuffle into one partition, so that whatever made these rows stays parallel.
-    (df.repartition(1) if small else df).write.option("header", True).csv(path)
+def write_single(df: DataFrame, path: str, files: int = 1) -> None:
+    """CSV in as many files as the caller asks for, one by default.
+
+    Whatever made the rows stays parallel; one file means one writing task, so a
+    large table should ask for more.
+    """
+    df.repartition(files).write.option("header", True).csv(path)

@@ -65,10 +65,13 @@ def read_lookup(spark: SparkSession, path: str, cols: Sequence[str]) -> DataFram
 
 
 def latest_snapshot(df: DataFrame, col: str = "_metadata.file_modification_time") -> DataFrame:
-    """Rows of the newest snapshot. Joins the one-row maximum, so it may be broadcast."""
-    stamped = df.withColumn("__snap", F.col(col))
-    newest = stamped.agg(F.max("__snap").alias("__snap"))
-    return stamped.join(F.broadcast(newest), "__snap", "left_semi").drop("__snap")
+    """Rows of the newest snapshot.
+
+    The newest stamp comes to the driver as one value and goes back as a filter,
+    so older files, or row groups, are not read.
+    """
+    newest = df.select(F.max(F.col(col)).alias("newest")).first()["newest"]
+    return df.where(F.col(col) == F.lit(newest))
 
 
 def select_files(df: DataFrame, pattern: str) -> DataFrame:

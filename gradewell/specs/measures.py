@@ -146,11 +146,5 @@ QUALITY = [m for m in MEASURES if m.name.startswith("m_qm_")]
 SURVEY = [m for m in MEASURES if m.name.startswith("m_hcaps_")]
 
 # Text measures kept under their own headers (fixed values).
-READMITTED = (
-    "how_often_home_health_patients_who_have_had_a_recent_hospital_stay"
-    "_had_to_be_re-admitted_to_the_hospital"
-)
-EMERGENCY = (
-    "how_often_home_health_patients_who_have_had_a_recent_hospital_stay"
-    "_received_care_in_the_hospital_emergency_room_without_being_readmitted_to_the_hospital"
-)
+READMITTED = "how_often_home_health_patients_who_have_had_a_recent_hospital_stay_had_to_be_re-admitted_to_the_hospital"
+EMERGENCY = "how_often_home_health_patients_who_have_had_a_recent_hospital_stay_received_care_in_the_hospital_emergency_room_without_being_readmitted_to_the_hospital"

@@ -93,10 +93,12 @@ INPUTS: dict[str, str] = {
     "facility_rates": """
         SELECT CAST(s_suppkey AS STRING) AS ccn, (s_suppkey % 100) / 1000 AS rate FROM supplier""",
     "facilities_monthly": f"""
-        SELECT CAST(l_suppkey AS STRING) AS ccn, CAST(l_shipdate AS DATE) AS day,
-               {pick('l_suppkey', STATES)} AS state FROM lineitem WHERE l_suppkey % 10 <> 9""",
+        SELECT CAST(CASE WHEN l_suppkey % 10 = 9 THEN -l_suppkey ELSE l_suppkey END AS STRING) AS ccn,
+               CAST(l_shipdate AS DATE) AS day,
+               {pick('l_suppkey', STATES)} AS state FROM lineitem""",
     "quality_measures": f"""
-        SELECT CAST(c_custkey AS STRING) AS ccn, {STATE} AS state, 'qtown' AS city,
+        SELECT CAST(CASE WHEN c_custkey % 29 = 0 THEN -c_custkey ELSE c_custkey END AS STRING) AS ccn,
+               {STATE} AS state, 'qtown' AS city,
                CASE WHEN c_custkey % 3 = 0 THEN 'O''NEIL CARE, ' ELSE 'first-home ' END || c_name AS name,
                CAST(c_custkey AS STRING) || ' main st, suite b' AS address,
                {pick('c_custkey', ('Voluntary Non - Profit', 'Government - State', 'Proprietary', 'Other'))}
@@ -106,14 +108,15 @@ INPUTS: dict[str, str] = {
                     ELSE CAST(c_custkey % 9 AS DOUBLE) / 2 + 1 END AS stars,
                {pick('c_custkey', EXPECTED)} AS readmitted, {pick('c_custkey + 1', EXPECTED)} AS emergency,
                {QUALITY_COLUMNS}
-        FROM customer WHERE c_custkey % 29 <> 0""",
+        FROM customer""",
     "patient_survey": f"""
-        SELECT CAST(c_custkey AS STRING) AS ccn, {STATE} AS state, 'san ' || c_mktsegment AS city,
+        SELECT CAST(CASE WHEN c_custkey % 31 = 0 THEN -c_custkey ELSE c_custkey END AS STRING) AS ccn,
+               {STATE} AS state, 'san ' || c_mktsegment AS city,
                c_name AS name, CAST(c_custkey AS STRING) || ' side st' AS address,
                CAST(c_custkey % 997 + 501 AS STRING) AS zip, {SERVICE_COLUMNS},
                CAST(c_custkey % 5 + 1 AS STRING) AS stars, CAST(c_custkey % 400 AS STRING) AS surveys,
                CAST(c_custkey % 60 AS STRING) AS response, {SURVEY_COLUMNS}
-        FROM customer WHERE c_custkey % 31 <> 0""",
+        FROM customer""",
 }
 
 # Header of each derived column in the job's input table (fixed values).

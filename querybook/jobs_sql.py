@@ -7,10 +7,26 @@ from gradewell.plans.scorecard import EMERGENCY_HEADER, READMITTED_HEADER, SERVI
 from gradewell.specs import rules
 from gradewell.specs.measures import MEASURES, QUALITY, SURVEY
 from gradewell.specs.models import OUTCOMES, Model
-from gradewell.specs.tags import TAG_RUNS
 from querybook.groups import rank_sql
 from querybook.inputs import ASOF, HEADERS, ctes
 
+# First and last tag number of each run.
+TAG_RUNS = {
+    "def_patient_rights": [(100, 116)],
+    "def_compliance": [(117, 121)],
+    "def_org_admin": [(122, 150)],
+    "def_prof_personel": [(151, 155)],
+    "def_med_poc": [(156, 166), (300, 300)],
+    "def_report_info": [(320, 322), (324, 328)],
+    "def_skilled_nurse": [(168, 183)],
+    "def_therapy_service": [(184, 193)],
+    "def_social_service": [(194, 201)],
+    "def_hha_service": [(202, 233), (301, 302)],
+    "def_clinical_records": [(235, 241), (303, 303)],
+    "def_program_eval": [(242, 251)],
+    "def_comp_assess": [(330, 342)],
+}
+
 DAY = f"DATE '{ASOF}'"
 
 
@@ -413,8 +429,35 @@ NUMBERS = {
 }
 
 
+# Measure behind each published header.
+PUBLISHED = {
+    "how_often_the_home_health_team_began_their_patients’_care_in_a_timely_manner": "m_qm_timely_manner",
+    "how_often_the_home_health_team_taught_patients_or_their_family_caregivers_about_their_drugs": "m_qm_teach_drugs",
+    "how_often_the_home_health_team_checked_patients’_risk_of_falling": "m_qm_risk_falling",
+    "how_often_the_home_health_team_checked_patients_for_depression": "m_qm_depression",
+    "how_often_the_home_health_team_determined_whether_patients_received_a_flu_shot_for_the_currnet_flu_season": "m_qm_flu_shot",
+    "how_often_the_home_health_team_made_sure_that_their_patients_have_received_a_pneumococcal_vaccine_pneumonia_shot": "m_qm_pneum_shot",
+    "with_diabetes_how_often_the_home_health_team_got_doctor’s_orders_gave_foot_care_and_taught_patients_about_foot_care": "m_qm_diabetes_footcare",
+    "how_often_patients_got_better_at_walking_or_moving_around": "m_qm_improv_mobil",
+    "how_often_patients_got_better_at_getting_in_and_out_of_bed": "m_qm_improv_trans",
+    "how_often_patients_got_better_at_bathing": "m_qm_bathing",
+    "how_often_patients_had_less_pain_when_moving_around": "m_qm_pain_moving",
+    "how_often_patients’_breathing_improved": "m_qm_breathing",
+    "how_often_patients’_wounds_improved_or_healed_after_an_operation": "m_qm_improv_wounds",
+    "how_often_patients_got_better_at_taking_their_drugs_correctly_by_mouth": "m_qm_correct_meds",
+    "how_often_home_health_patients_had_to_be_admitted_to_the_hospital": "m_qm_admit_hosp",
+    "how_often_patients_receiving_home_health_care_needed_urgent_unplanned_care_in_the_er_without_being_admitted": "m_qm_urgent_care_no_hosp",
+    "percent_of_patients_who_reported_that_their_home_health_team_gave_care_in_a_professional_way": "m_hcaps_prof_care",
+    "percent_of_patients_who_reported_that_their_home_health_team_communicated_well_with_them": "m_hcaps_communicated",
+    "percent_of_patients_who_reported_that_their_home_health_team_discussed_medicines_pain_and_home_safety_with_them": "m_hcaps_discuss_med",
+    "percent_of_patients_who_gave_their_home_health_agency_a_rating_of_9_or_10_on_a_scale_from_0_lowest_to_10_highest": "m_hcaps_above_8",
+    "percent_of_patients_who_reported_yes_they_would_definitely_recommend_the_home_health_agency_to_friends_and_family": "m_hcaps_definitely_recommend",
+}
+
+
 def scorecard_table(columns: list[str]) -> str:
+    inner = [(c, PUBLISHED.get(c, c)) for c in columns]
     shown = [
-        f'{TEXTS[c]} AS "{c}"' if c in TEXTS else num(NUMBERS.get(c, c), c) for c in columns
+        f'{TEXTS[i]} AS "{c}"' if i in TEXTS else num(NUMBERS.get(i, i), c) for c, i in inner
     ]
     return f"WITH {scorecard_ctes()}\nSELECT {', '.join(shown)} FROM rated"

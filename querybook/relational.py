@@ -100,12 +100,13 @@ def distinct_keys(spark, folder):
     QUERIES,
     SQL,
     """SELECT o_orderkey, o_custkey, CAST(c_custkey AS DOUBLE) AS c_custkey, c_mktsegment
-       FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey""",
+       FROM orders LEFT JOIN (SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END AS c_custkey,
+                                     c_mktsegment FROM customer) ON o_custkey = c_custkey""",
 )
 def left_join_renamed(spark, folder):
     orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    customer = load(spark, folder, "customer").where("c_acctbal > 0")
-    customer = customer.select(F.col("c_custkey").cast("double").alias("c_custkey"), "c_mktsegment")
+    key = F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+    customer = load(spark, folder, "customer").select(key.cast("double").alias("c_custkey"), "c_mktsegment")
     return joins.left_join(orders, customer, "o_custkey", "c_custkey")
 
 
@@ -140,7 +141,7 @@ def fanout_dedup(spark, folder):
     QUERIES,
     SQL,
     """WITH f AS (SELECT o_custkey, o_orderdate, count(*) AS n FROM orders
-                  WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+                  WHERE o_orderstatus <> 'O' GROUP BY 1, 2),
             l AS (SELECT o_custkey, n FROM f
                   WHERE (o_custkey, o_orderdate) IN
                         (SELECT (o_custkey, max(o_orderdate)) FROM f GROUP BY o_custkey))
@@ -150,7 +151,7 @@ def fanout_dedup(spark, folder):
 def attach_other_cycle_count(spark, folder):
     orders = load(spark, folder, "orders")
     base = orders.where("o_orderstatus = 'O'").select("o_orderkey", "o_custkey")
-    other = orders.where("o_orderstatus = 'F'").select("o_custkey", "o_orderdate")
+    other = orders.where("o_orderstatus <> 'O'").select("o_custkey", "o_orderdate")
     out = picks.attach_other(base, other, "o_custkey", "o_orderdate", "other_count")
     return out.select(
         "o_orderkey", "o_custkey", F.col("other_count").cast("double").alias("other_count")

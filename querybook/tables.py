@@ -226,7 +226,7 @@ def apply_to_columns(spark, folder):
     """SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey, NULL::DOUBLE AS o_totalprice FROM orders
        WHERE o_orderstatus = 'O'
        UNION ALL
-       SELECT o_orderkey, NULL, o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
+       SELECT o_orderkey, NULL, o_totalprice FROM orders WHERE o_orderstatus <> 'O'""",
 )
 def union_by_name(spark, folder):
     orders = load(spark, folder, "orders")
@@ -235,7 +235,7 @@ def union_by_name(spark, folder):
             orders.where("o_orderstatus = 'O'").select(
                 "o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey")
             ),
-            orders.where("o_orderstatus = 'F'").select("o_totalprice", "o_orderkey"),
+            orders.where("o_orderstatus <> 'O'").select("o_totalprice", "o_orderkey"),
         ]
     )
 

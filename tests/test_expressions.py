@@ -9,7 +9,7 @@ from gradewell.functions import dates, flags, numbers, scoring, text
 from gradewell.operators import columns, filters
 from gradewell.specs.models import OUTCOMES
 from gradewell.specs.rules import RULES
-from gradewell.specs.tags import tag_lists
+from gradewell.specs.tags import TAG_LISTS
 
 
 def values(spark, rows, schema, **exprs):
@@ -125,7 +125,7 @@ def test_decode_contains_last_rule_wins(spark):
 
 
 def test_tag_lists_have_no_overlap_and_keep_their_gaps():
-    tags = [t for tags in tag_lists().values() for t in tags]
+    tags = [t for tags in TAG_LISTS.values() for t in tags]
     assert len(tags) == len(set(tags)) == 175
     assert not {"G-0167", "G-0234", "G-0323"} & set(tags)
 

@@ -37,17 +37,28 @@ def test_write_by_keeps_order_and_splits_a_large_key(spark, tmp_path):
     assert back.count() == 2000 and set(back.columns) >= {"state", "n", "t"}
 
 
-def test_write_single_falls_back_to_parts(spark, tmp_path):
-    from limits import limits
-
+def test_write_single_writes_the_files_asked_for(spark, tmp_path):
     df = spark.range(100, numPartitions=4).select(F.col("id").cast("string"))
-    with limits(spark, size=0):
-        sinks.write_single(df, str(tmp_path / "one"), max_rows=1000)
-        sinks.write_single(df, str(tmp_path / "many"), max_rows=10)
+    sinks.write_single(df, str(tmp_path / "one"))
+    sinks.write_single(df, str(tmp_path / "many"), files=4)
     assert len(files(tmp_path / "one")) == 1 and len(files(tmp_path / "many")) == 4
     assert tables.read_csv(spark, str(tmp_path / "many")).count() == 100
 
 
+def test_latest_snapshot_reads_only_the_newest_files(spark, tmp_path):
+    import os
+
+    for n in range(4):
+        spark.range(n, n + 1).coalesce(1).write.parquet(str(tmp_path / f"s{n}"))
+        for f in (tmp_path / f"s{n}").iterdir():
+            os.utime(f, (1_700_000_000 + n * 1000,) * 2)
+    df = spark.read.parquet(*[str(tmp_path / f"s{n}") for n in range(4)])
+    newest = tables.latest_snapshot(df)
+    assert [r["id"] for r in newest.collect()] == [3]
+    scan = newest._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 1
+
+
 def test_latest_snapshot_by_file_time(spark, tmp_path):
     for n in (1, 2):
         part = tmp_path / f"s{n}.csv"
