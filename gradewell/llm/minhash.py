@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from gradewell.llm.tables import pin, row_id, text_key
 from gradewell.llm.text import U, Words, mix, shingles, small_batches
 
-WORDS, BANDS, ROWS, LIKE, HUB_ROUNDS = 5, 24, 5, 0.8, 4
+WORDS, BANDS, ROWS, LIKE, HUB_ROUNDS = 5, 24, 5, 0.8, 3
 
 
 def bags(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,20 +144,25 @@ VERTEX = "struct<id:bigint,key:bigint>"
 def components(edges: DataFrame) -> DataFrame:
     """(v, label) of every vertex, the least vertex of its component; ``edges`` is pinned.
 
-    Least labels spread along edges and then jump to their label's label; stars
-    need two or three rounds, a chain a logarithm of its length.
+    Least labels spread along edges. Stars, which hub links make, are done in two
+    rounds; from the third on a label also jumps to its own label, so a chain
+    takes a logarithm of its length.
     """
     both = pin(edges.select("v", "w").unionByName(edges.select(F.col("w").alias("v"), F.col("v").alias("w"))).distinct())
     labels = pin(both.groupBy("v").agg(F.least(F.min("w"), F.first("v")).alias("label")))
+    step = 0
     while True:
-        seen = both.join(labels.withColumnRenamed("v", "w"), "w").groupBy("v").agg(F.min("label").alias("near"))
-        spread = labels.join(seen, "v").select("v", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        jump = labels.select(F.col("v").alias("label"), F.col("label").alias("next"))
-        after = pin(spread.join(jump, "label").select("v", F.least("label", "next").alias("label"), "old"))
-        changed = after.where("label <> old").isEmpty()
+        seen = both.join(labels.withColumnRenamed("v", "w"), "w").select("v", "label", F.lit(None).cast(VERTEX).alias("old"))
+        own = labels.select("v", "label", F.col("label").alias("old"))
+        after = own.unionByName(seen).groupBy("v").agg(F.min("label").alias("label"), F.max("old").alias("old"))
+        if step >= 2:
+            jump = labels.select(F.col("v").alias("label"), F.col("label").alias("next"))
+            after = after.join(jump, "label").select("v", F.least("label", "next").alias("label"), "old")
+        after = pin(after)
         labels = after.drop("old")
-        if changed:
+        if after.where("label <> old").isEmpty():
             return labels
+        step += 1
 
 
 def near_duplicates(docs: DataFrame, like: float = LIKE) -> DataFrame:
@@ -182,6 +187,8 @@ def near_duplicates(docs: DataFrame, like: float = LIKE) -> DataFrame:
         if tried is not None:
             pairs = pairs.join(tried, ["v", "w"], "left_anti")
         pairs = pin(pairs)
+        if step and pairs.isEmpty():
+            break
         tried = pairs if tried is None else tried.unionByName(pairs)
         x, y = held.withColumnRenamed("bag", "x"), held.select(F.col("v").alias("w"), F.col("bag").alias("y"))
         found = pin(pairs.join(x, "v").join(y, "w").select("v", "w", "x", "y").mapInArrow(lambda it: check_pairs(it, like), f"v {VERTEX}, w {VERTEX}"))
