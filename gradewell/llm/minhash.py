@@ -10,10 +10,16 @@ similarity. Points beyond a text's latest register are never made.
 
 ``BANDS`` x ``ROWS`` registers make the candidates (a pair at 0.8 is missed with
 probability 7e-5). Equal texts are one representative, found by an aggregate.
-Within a bucket every member is held against one hub, not against all: further
-rounds take another hub for the members that are still in another class, until
-a round finds no link. The multisets decide every pair. Classes are the
-components of verified links.
+Within a bucket every member is first held against one hub, and in two further
+rounds against another hub each; that joins large classes cheaply. A hub is
+settled in its bucket. Whatever members of different classes then remain in a
+bucket are compared pair by pair, in cells of two blocks (``check_cells``), so
+every candidate pair is verified or lies within a class already. The multisets
+decide every pair. Classes are the components of verified links.
+
+``n_links`` counts the verified links that a text's class was built from. Pairs
+within a class known already are not compared, so it is not the number of all
+texts at ``LIKE`` or more.
 
 Texts of one to four words are one shingle. Texts without words are alone.
 Rows that repeat id and text share a class; null ids come last.
@@ -28,10 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gradewell.llm.neighbours import groups
 from gradewell.llm.tables import pin, row_id, text_key
 from gradewell.llm.text import U, Words, mix, shingles, small_batches
 
 WORDS, BANDS, ROWS, LIKE, HUB_ROUNDS = 5, 24, 5, 0.8, 3
+# A block of a bucket has about so many members and words; stripes are columns of one matrix product.
+BLOCK, BLOCK_WORDS, STRIPE = 256, 1 << 20, 8192
 
 
 def bags(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,6 +147,65 @@ def check_pairs(batches: Iterator[pa.RecordBatch], like: float) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("w")], ["v", "w"]).filter(pa.array(ok, pa.bool_()))
 
 
+def copies(bags: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bag and value of each element; the n-th copy of a shingle in a bag is an element of its own."""
+    bag = np.repeat(np.arange(len(bags)), [len(b) // 8 for b in bags])
+    value = np.frombuffer(b"".join(bags), U)
+    at = np.arange(len(value))
+    new = np.ones(len(value), bool)
+    new[1:] = (bag[1:] != bag[:-1]) | (value[1:] != value[:-1])
+    copy = at - np.maximum.accumulate(np.where(new, at, 0))
+    return bag, value + copy.astype(U) * U(0x9E3779B97F4A7C15)
+
+
+def overlaps(xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+    """``overlap`` of each of ``xs`` with each of ``ys``."""
+    sides = [copies(xs), copies(ys)]
+    common = np.intersect1d(sides[0][1], sides[1][1])
+    held = []
+    for bag, value in sides:
+        at = np.searchsorted(common, value)
+        ok = at < len(common)
+        ok[ok] = common[at[ok]] == value[ok]
+        order = np.argsort(at[ok], kind="stable")
+        held.append((bag[ok][order], at[ok][order]))
+    shared = np.zeros((len(xs), len(ys)))
+    for low in range(0, len(common), STRIPE):
+        parts = []
+        for (bag, at), n in zip(held, shared.shape, strict=True):
+            a, b = np.searchsorted(at, (low, low + STRIPE))
+            part = np.zeros((n, min(STRIPE, len(common) - low)), np.float32)
+            part[bag[a:b], at[a:b] - low] = 1
+            parts.append(part)
+        shared += parts[0] @ parts[1].T
+    size = [np.array([len(b) // 8 for b in side], float) for side in (xs, ys)]
+    return shared / np.maximum(size[0][:, None] + size[1][None, :] - shared, 1)
+
+
+PAIR = "v_id long, v_key long, w_id long, w_key long"
+
+
+def check_cells(batches: Iterator[pa.RecordBatch], like: float) -> Iterator[pa.RecordBatch]:
+    """Verified pairs between the left and the right rows of each cell that are in different classes.
+
+    Left rows are not of the bucket's largest class (``minor``); of two such rows the lesser is the left one.
+    """
+    for rows in groups(batches, "cell"):
+        left = np.asarray(rows.column("left"))
+        x, y = np.flatnonzero(left), np.flatnonzero(~left)
+        if not len(x) or not len(y):
+            continue
+        id_, key, label_id, label_key, minor = (np.asarray(rows.column(c)) for c in ("id", "key", "label_id", "label_key", "minor"))
+        bag = rows.column("bag").to_pylist()
+        over = lambda a: (a[x][:, None], a[y][None, :])
+        (xi, yi), (xk, yk), (xl, yl), (xm, ym) = map(over, (id_, key, label_id, label_key))
+        asked = ((xl != yl) | (xm != ym)) & (~minor[y][None, :] | (xi < yi) | ((xi == yi) & (xk < yk)))
+        if not asked.any():
+            continue
+        i, j = np.nonzero(asked & (overlaps([bag[k] for k in x], [bag[k] for k in y]) >= like))
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in (id_[x[i]], key[x[i]], id_[y[j]], key[y[j]])], ["v_id", "v_key", "w_id", "w_key"])
+
+
 VERTEX = "struct<id:bigint,key:bigint>"
 
 
@@ -165,30 +233,78 @@ def components(edges: DataFrame) -> DataFrame:
         step += 1
 
 
+def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``members`` with their class so far, themselves where no link is known."""
+    if labels is None:
+        return members.withColumn("label", F.col("v"))
+    return members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+
+
+def all_pairs(live: DataFrame, labels: DataFrame, held: DataFrame, like: float) -> DataFrame:
+    """Every link (v, w) between members of one bucket that are in different classes.
+
+    A pair of different classes has a side outside the bucket's largest class.
+    Those are the left rows, all members the right ones; both are dealt to blocks
+    by hash, and each left block meets each right block in a cell of its own, so
+    no bucket is one task's.
+    """
+    at = pin(labelled(live, labels))
+    sizes = at.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("words"))
+    most = F.max(F.struct("n", "words", "label"))
+    whole = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("words").alias("words"), most.alias("most"))
+
+    def blocks(n, words):
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(words / BLOCK_WORDS)).cast("int")
+
+    open_ = whole.where(F.col("n") > F.col("most.n")).select(
+        "bucket",
+        F.col("most.label").alias("large"),
+        blocks(F.col("n") - F.col("most.n"), F.col("words") - F.col("most.words")).alias("lefts"),
+        blocks(F.col("n"), F.col("words")).alias("rights"),
+    )
+    placed = at.drop("n").join(open_, "bucket").withColumn("minor", F.col("label") != F.col("large"))
+
+    def dealt(rows: DataFrame, left: bool) -> DataFrame:
+        own, other = ("lefts", "rights") if left else ("rights", "lefts")
+        block = F.pmod(F.xxhash64("v", F.lit(left)), F.col(own))
+        met = rows.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        pair = ("own", "other") if left else ("other", "own")
+        # Cells of one hash only share a table; what they add is verified like the rest.
+        cell = F.xxhash64("bucket", *[F.col(c).cast("int") for c in pair])
+        return met.select("v", cell.alias("cell"), F.lit(left).alias("left"), "minor", F.col("label.id").alias("label_id"), F.col("label.key").alias("label_key"))
+
+    rows = dealt(placed.where("minor"), True).unionByName(dealt(placed, False)).join(held, "v")
+    flat = rows.select("cell", "left", "minor", F.col("v.id").alias("id"), F.col("v.key").alias("key"), "label_id", "label_key", "bag")
+    links = flat.repartition("cell").sortWithinPartitions("cell").mapInArrow(lambda it: check_cells(it, like), PAIR).distinct()
+    v, w = (F.struct(F.col(f"{c}_id").alias("id"), F.col(f"{c}_key").alias("key")) for c in "vw")
+    return links.select(F.least(v, w).alias("v"), F.greatest(v, w).alias("w")).distinct()
+
+
 def near_duplicates(docs: DataFrame, like: float = LIKE) -> DataFrame:
     """(id, key, class_id, class_key, n_links) of every different (id, key): the class's earliest row and the text's links."""
     texts = docs.select(row_id().alias("id"), text_key().alias("key"), "text")
     sketches = pin(texts.mapInArrow(sketch, SKETCH))
     worded = sketches.where("n > 0")
-    same = pin(worded.groupBy("a", "b").agg(F.min(F.struct("id", "key")).alias("v"), F.first("bands").alias("bands")))
-    places = same.select("v", F.explode("bands").alias("bucket"))
+    same = pin(worded.groupBy("a", "b").agg(F.min(F.struct("id", "key")).alias("v"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    places = same.select("v", "n", F.explode("bands").alias("bucket"))
     shared = places.groupBy("bucket").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least <> most").select("bucket")
-    members = pin(places.join(shared, "bucket"))
-    bag_ids = members.select("v").distinct()
+    live = pin(places.join(shared, "bucket"))
+    bag_ids = live.select("v").distinct()
     keyed = texts.withColumn("v", F.struct("id", "key")).select("v", "text").join(bag_ids, "v").dropDuplicates(["v"])
     held = pin(keyed.mapInArrow(make_bags, f"v {VERTEX}, bag binary"))
     labels = edges = None
     tried = None
     for step in range(HUB_ROUNDS):
-        at = members.withColumn("label", F.col("v")) if labels is None else members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+        at = labelled(live, labels)
         order = F.struct(F.lit(0) if step == 0 else F.xxhash64("v", F.lit(step)), "v", "label")
         hubs = at.groupBy("bucket").agg(F.min(order).alias("hub"), F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("bucket", "hub")
-        pairs = at.join(hubs, "bucket").where("label <> hub.label").select(F.least("v", "hub.v").alias("v"), F.greatest("v", "hub.v").alias("w")).distinct()
+        met = at.join(hubs, "bucket")
+        pairs = met.where("label <> hub.label").select(F.least("v", "hub.v").alias("v"), F.greatest("v", "hub.v").alias("w")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["v", "w"], "left_anti")
         pairs = pin(pairs)
-        if step and pairs.isEmpty():
-            break
+        # A hub has met its whole bucket, and a bucket of one class has nothing left to find.
+        live = pin(met.where("v <> hub.v").select("v", "n", "bucket"))
         tried = pairs if tried is None else tried.unionByName(pairs)
         x, y = held.withColumnRenamed("bag", "x"), held.select(F.col("v").alias("w"), F.col("bag").alias("y"))
         found = pin(pairs.join(x, "v").join(y, "w").select("v", "w", "x", "y").mapInArrow(lambda it: check_pairs(it, like), f"v {VERTEX}, w {VERTEX}"))
@@ -196,6 +312,10 @@ def near_duplicates(docs: DataFrame, like: float = LIKE) -> DataFrame:
             break
         edges = found if edges is None else edges.unionByName(found)
         labels = components(edges)
+    rest = pin(all_pairs(live, labels, held, like))
+    if not rest.isEmpty():
+        edges = edges.unionByName(rest)
+        labels = components(edges)
     degree = edges.select(F.explode(F.array("v", "w")).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("links"))
     classed = same.select("a", "b", "v").join(labels, "v", "left").join(degree, "v", "left")
     classed = classed.select("a", "b", F.coalesce("label", "v").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))

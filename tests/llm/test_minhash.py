@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 from llm_helpers import LONG, ODD, table, words
 
-from gradewell.llm.minhash import BANDS, ROWS, classify, signatures
+from gradewell.llm.minhash import BANDS, ROWS, classify, overlap, overlaps, signatures
 
 
 def bag(text):
@@ -75,6 +75,36 @@ def test_large_group_of_near_copies(spark):
     assert {c for _, c in result(classify(table(spark, rows)))} == {0}
 
 
+def template(draw, n, pairs):
+    """``n`` texts of one template, about 0.6 like each other, and a copy at about 0.85 of the first ``pairs``."""
+    base = [f"t{i}" for i in range(160)]
+    rows = []
+    for g in range(n):
+        w = list(base)
+        w[60:96] = [f"g{g}w{i}" for i in range(36)]
+        rows.append((g, " ".join(w)))
+        if g < pairs:
+            at = draw.choice([10, 110, 140])
+            w[at : at + 8] = [f"c{g}w{i}" for i in range(8)]
+            rows.append((1000 + g, " ".join(w)))
+    return rows
+
+
+def test_copies_among_many_texts_of_one_template(spark):
+    rows = template(random.Random(8), 600, 40)
+    bags = [bag(t) for _, t in rows]
+    assert 0.55 < similarity(bags[0], bags[2]) < 0.7 and 0.8 < similarity(bags[0], bags[1]) < 0.9
+    done = classify(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id) for r in done) == plain(rows)
+    assert sum(r.stays for r in done) == 600 and sum(r.n_links for r in done) == 80
+
+
+def test_overlaps_equal_single_overlaps():
+    draw = np.random.default_rng(5)
+    made = [np.sort(draw.integers(0, 40, n).astype(np.uint64) << np.uint64(9)).tobytes() for n in (1, 30, 90, 200, 7)]
+    assert np.allclose(overlaps(made, made[:3]), [[overlap(x, y) for y in made[:3]] for x in made])
+
+
 def test_signatures_estimate_weighted_jaccard():
     draw = np.random.default_rng(3)
     items = draw.integers(0, 2**63, 60).astype(np.uint64)
