@@ -1,8 +1,11 @@
 """Group aggregates, and group values attached to every row.
 
 Aggregates run with map-side partial aggregation, so a hot group arrives at its
-reducer as one row per map task. Attaching is aggregate plus ``lookup_join``
-rather than a window: a window would bring every row of a group to one task.
+reducer as one row per map task. Attaching is one aggregate, written down with each
+group's number of rows, and one join: the same table gives the values and tells which
+groups are hot, so the input is read twice in all. A window would bring every row of a
+group to one task, and sorting the rows into segments would shuffle all of them where
+a join with few groups shuffles none.
 Rows without a key form no group and get no value.
 """
 
@@ -15,7 +18,9 @@ from pyspark.sql import functions as F
 
 from gradewell.operators.columns import quoted
 from gradewell.operators.filters import require
-from gradewell.operators.joins import fits_one_task, hot_keys, lookup_join
+from gradewell.operators.joins import lookup_join
+from gradewell.operators.spread import Chain, counted_directory
+from gradewell.session import pin
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -34,6 +39,12 @@ def group_count(df: DataFrame, keys: Sequence[str], col: str, name: str) -> Data
     return group_stats(df, keys, {name: F.count(quoted(col))})
 
 
+def sized_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+    """Aggregates and ``__rows`` of each group, rows without a key as groups of their own; pinned."""
+    columns = [c.alias(name) for name, c in aggs.items()]
+    return pin(df.groupBy(*[quoted(k) for k in keys]).agg(*columns, F.count(F.lit(1)).alias("__rows")))
+
+
 def attach(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,9 +56,32 @@ def attach(
     ``source`` is a cheaper table with the same groups to aggregate and count on,
     for use in chains; without it ``df`` is read again.
     """
-    base = df if source is None else source
-    hot = None if fits_one_task(df) else hot_keys(base, keys)
-    return lookup_join(df, group_stats(base, keys, aggs), keys, "left", hot)
+    stats = sized_stats(df if source is None else source, keys, aggs)
+    hot = counted_directory(stats, keys, "__rows")
+    return lookup_join(df, require(stats, keys).drop("__rows"), keys, "left", hot)
+
+
+def attach_sums(
+    df: DataFrame, levels: Mapping[str, Sequence[str]], value: Column | str
+) -> DataFrame:
+    """Every row with the sum of ``value`` over each level's group: ``{new column: keys}``.
+
+    The rows are summed once, by all keys together; every level's sums and group sizes
+    come from those partial sums.
+    """
+    finest = list(dict.fromkeys(k for keys in levels.values() for k in keys))
+    sums = sized_stats(df, finest, {"__sum": total(value)})
+    hot, sides = {}, []
+    for name, keys in levels.items():
+        level = sums.groupBy(*[quoted(k) for k in keys]).agg(
+            F.sum("__sum").alias(name), F.sum("__rows").alias("__rows")
+        )
+        hot |= counted_directory(level, keys, "__rows")
+        sides.append((require(level, keys).drop("__rows"), keys))
+    chain = Chain(df, hot=hot)
+    for side, keys in sides:
+        chain.join(side, keys)
+    return chain.done()
 
 
 def total(col: Column | str) -> Column:

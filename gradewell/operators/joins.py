@@ -2,64 +2,23 @@
 
 ``lookup_join`` is the work horse. The left side may have hot keys; the right
 side is a table of at most a few rows per key (group statistics, ranks,
-per-provider summaries). Keys with more than ``MAX_ROWS`` left rows are found by
-a partial count; there can be no more than ``rows / MAX_ROWS`` of them, which
-bounds the table that is broadcast. Rows of a hot key are spread over
-``ceil(n / MAX_ROWS)`` salts and the right rows of that key are repeated once
-per salt. The salt is the task's own partition number: it does not depend on
-row order, so a retried task sends its rows to the same place, and identical
-rows spread as well as different ones. No row is dropped.
-
-For inputs that fit one task the salting is left out. Their size is the sum of
-the scanned inputs as the optimizer knows it, so the check runs no job.
-
-Finding hot keys reads the left side once more. Chains of joins therefore count
-on their base table and pass the result as ``hot``, instead of counting the
-growing left side again at every step.
+per-provider summaries). Rows of a hot key are spread over salts and the right
+rows of that key are repeated once per salt (``spread``); no row is dropped.
+There is one way for all sizes: where the directory finds no hot key, the join is
+the plain one, and Spark broadcasts the right side by its measured size.
+
+Finding hot keys reads the key columns of the left side once. Chains of joins do
+that once for all their key sets, on the base table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from gradewell.operators.columns import all_present
-
-# Session settings and their defaults: the most rows one key may bring to one
-# task, and the input size one task can handle whatever its keys.
-MAX_ROWS = ("spark.gradewell.maxRowsPerTask", 2_000_000)
-ONE_TASK_BYTES = ("spark.gradewell.oneTaskBytes", 128 * 1024 * 1024)
-
-
-def limit(df: DataFrame, setting: tuple[str, int]) -> int:
-    key, default = setting
-    return int(df.sparkSession.conf.get(key, str(default)))
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of all files and tables ``df`` reads; runs no job."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    return input_bytes(df) <= limit(df, ONE_TASK_BYTES)
 
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with too many rows for one task and the number of salts each needs."""
-    counted = df.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return with_salts(counted, keys, "__n")
-
-
-def with_salts(counted: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
-    most = limit(counted, MAX_ROWS)
-    return counted.where(F.col(count) > most).select(
-        *keys, F.ceil(F.col(count) / F.lit(most)).cast("int").alias("__salts")
-    )
+from gradewell.operators.spread import Chain, HotKeys
+from gradewell.session import pin
 
 
 def lookup_join(
@@ -67,23 +26,10 @@ def lookup_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left or inner join on equal column names, safe for hot keys on the left."""
-    on = list(on)
-    if fits_one_task(left):
-        return left.join(right, on, how)
-    hot = F.broadcast(hot_keys(left, on) if hot is None else hot)
-    # Rows without a key match nothing; they keep their own spread.
-    salt = (
-        F.when(~all_present(on), F.pmod(F.spark_partition_id(), F.lit(1024)))
-        .when(F.col("__salts").isNotNull(), F.pmod(F.spark_partition_id(), F.col("__salts")))
-        .otherwise(0)
-    )
-    salted_left = left.join(hot, on, "left").withColumn("__salt", salt).drop("__salts")
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))
-    salted_right = right.join(hot, on, "left").withColumn("__salt", copies).drop("__salts")
-    return salted_left.join(salted_right, [*on, "__salt"], how).drop("__salt")
+    return Chain(left, on, hot=hot).join(right, on, how).done()
 
 
 def left_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str) -> DataFrame:
@@ -100,33 +46,52 @@ def dim_join(df: DataFrame, dim: DataFrame, lkey: str, rkey: str) -> DataFrame:
     return df.join(dim, df[lkey] == dim[rkey], "inner")
 
 
-def star_join(base: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Left joins of several sides to one base, each on its own key columns.
+def fold_sides(
+    columns: Sequence[str], sides: Sequence[tuple[DataFrame, Sequence[str]]]
+) -> list[tuple[DataFrame, list[str]]]:
+    """The sides with keys in ``columns``, each with the sides folded in that hang on it.
 
-    Hot keys are counted on the base. Keys that only an earlier side brings in
-    are joined plainly: both inputs of such a join are fresh shuffles, which AQE
-    splits where a key is hot.
+    A side whose keys only an earlier side brings in is joined to that side, which is
+    smaller than the base, and comes to the base with it.
     """
-    small = fits_one_task(base)
-    hot: dict[tuple[str, ...], DataFrame] = {}
-    out = base
+    kept: list[tuple[DataFrame, list[str]]] = []
     for side, on in sides:
-        if small or not set(on) <= set(base.columns):
-            out = out.join(side, list(on), "left")
-            continue
-        keys = tuple(on)
-        if keys not in hot:
-            hot[keys] = hot_keys(base, keys)
-        out = lookup_join(out, side, on, "left", hot[keys])
-    return out
+        if not set(on) <= set(columns):
+            holders = [i for i, (k, _) in enumerate(kept) if set(on) <= set(k.columns)]
+            if holders:
+                holder, keys = kept[holders[0]]
+                kept[holders[0]] = (lookup_join(holder, side, on, "left"), keys)
+                continue
+        kept.append((side, list(on)))
+    return kept
+
+
+def star_join(
+    base: DataFrame,
+    sides: Sequence[tuple[DataFrame, Sequence[str]]],
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """Left joins of several sides to one base, each on its own key columns.
+
+    All key sets of the base share one directory and one spread number. Sides that
+    hang on another side are joined to that one first. Keys gathered from
+    several sides have no single holder; the table so far is pinned for them.
+    """
+    kept = fold_sides(base.columns, sides)
+    chain = Chain(base, *[on for _, on in kept if set(on) <= set(base.columns)], hot=hot)
+    for side, on in kept:
+        if not set(on) <= set(base.columns):
+            chain = Chain(pin(chain.done()), on)
+        chain.join(side, on)
+    return chain.done()
 
 
-def reduce_join(dfs: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
+def reduce_join(dfs: Sequence[DataFrame], on: Sequence[str], hot: HotKeys | None = None) -> DataFrame:
     """Inner join of all tables on the same keys; hot keys are those of the first table."""
-    if fits_one_task(dfs[0]):
-        return reduce(lambda a, b: a.join(b, list(on)), dfs)
-    hot = hot_keys(dfs[0], on)
-    return reduce(lambda a, b: lookup_join(a, b, on, "inner", hot), dfs)
+    chain = Chain(dfs[0], on, hot=hot)
+    for side in dfs[1:]:
+        chain.join(side, on, "inner")
+    return chain.done()
 
 
 def join_suffixed(

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from gradewell.operators.columns import quoted
 from gradewell.operators.filters import require
-from gradewell.operators.groups import group_stats
+from gradewell.operators.groups import group_stats, sized_stats
 from gradewell.operators.joins import lookup_join
+from gradewell.operators.spread import counted_directory
 
 
 def top_n_per_group(
@@ -47,11 +48,13 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
 def rows_of_latest(df: DataFrame, key: str, day: str) -> DataFrame:
     """All rows of each key's latest day.
 
-    The latest day is a partial aggregate joined back, so neither a hot key nor
-    a day that many rows share gathers in one task.
+    One aggregate gives each key's latest day and its number of rows, so neither a
+    hot key nor a day that many rows share gathers in one task, and the input
+    is read once more than it would be anyway.
     """
-    latest = group_stats(df, [key], {"__latest": F.max(quoted(day))})
-    joined = lookup_join(require(df, [key]), latest, [key], "inner")
+    latest = sized_stats(require(df, [key]), [key], {"__latest": F.max(quoted(day))})
+    hot = counted_directory(latest, [key], "__rows")
+    joined = lookup_join(require(df, [key]), latest.drop("__rows"), [key], "inner", hot)
     return joined.where(quoted(day) == F.col("__latest")).drop("__latest")
 
 

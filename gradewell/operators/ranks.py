@@ -1,12 +1,17 @@
 """Order-based group operators: percent rank, median, lag.
 
-Where the input fits one task, or a count shows that every group does, a plain
-window per group is used. Otherwise no task may own a whole group, so the rows
-are cut into sorted segments: a range partitioning by
-(group, order) whose partition number is written down once (``pin``). Inside a
-segment a window does the work; what crosses a border between segments is a
-small table of at most a few rows per segment. Ties are counted before the
-partitioning, so that one value shared by many rows is one row there.
+Rank and median read one order-statistic index: each distinct (group, measure, value)
+with its number of rows, the rows of the group below it and the rows of the group. The
+index is cut into sorted segments: a range partitioning by (group, measure, value) whose
+partition number is written down once (``pin``). Running counts are made inside a
+segment; what crosses a border is the one group that lies on it, so at most two rows per
+segment are carried over. Values keep their own type, so numbers beyond
+a double's precision, decimals, dates and texts rank as exactly as doubles do. Ties
+are one row of the index, however many rows share the value.
+
+Lag cuts the rows themselves into sorted segments and exchanges their edges.
+
+There is one way for all sizes. Segments are as many as the session's shuffle partitions.
 """
 
 from __future__ import annotations
@@ -15,46 +20,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gradewell.operators.columns import all_present, quoted
+from gradewell.operators.columns import quoted
 from gradewell.operators.filters import require
-from gradewell.operators.groups import attach, group_stats
-from gradewell.operators.joins import (
-    MAX_ROWS,
-    ONE_TASK_BYTES,
-    fits_one_task,
-    input_bytes,
-    limit,
-    lookup_join,
-    with_salts,
-)
+from gradewell.operators.groups import group_stats
+from gradewell.operators.joins import lookup_join
+from gradewell.operators.spread import Chain, counted_directory, tasks
 from gradewell.session import pin
 
 
-def groups_fit(df: DataFrame, keys: Sequence[str]) -> bool:
-    """No group is too large for one task. Larger inputs are counted by key, map-side first."""
-    if fits_one_task(df):
-        return True
-    sizes = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    return sizes.where(F.col("__n") > limit(df, MAX_ROWS)).isEmpty()
-
-
-def pct_rank(c: Column | str, keys: Sequence[str]) -> Column:
-    """Average rank of ties over the number of known values, times 100.
-
-    A row without a value or without a group has no rank.
-
-    With the default range frame, ``count`` over an ordered window is the last
-    rank of a tie, so the average rank is the mean of it and ``rank``.
-    """
-    value = quoted(c) if isinstance(c, str) else c
-    group = Window.partitionBy(*[quoted(k) for k in keys])
-    ordered = group.orderBy(value.asc_nulls_last())
-    mean_rank = (F.rank().over(ordered) + F.count(value).over(ordered)) / F.lit(2.0)
-    known = value.isNotNull() & all_present(keys)
-    return F.when(known, mean_rank / F.count(value).over(group) * F.lit(100.0))
-
-
 def attach_pct_rank(
     df: DataFrame,
     keys: Sequence[str],
@@ -64,31 +39,28 @@ def attach_pct_rank(
 ) -> DataFrame:
     """Percent ranks ``{new column: measure}`` within the group, on every row.
 
-    ``rounded`` rounds half to even. ``min_size`` = (size column, least size)
-    leaves the rank NULL in smaller groups. For many measures of a table with a
-    row key see ``rank_rows``.
+    The average rank of ties over the number of known values, times 100. A row
+    without a value or without a group has no rank. ``rounded`` rounds half to even.
+    ``min_size`` = (size column, least size) leaves the rank NULL in smaller groups.
+    For many measures of a table with a row key see ``rank_rows``.
     """
     gate = quoted(min_size[0]) >= min_size[1] if min_size else F.lit(True)
-
-    def finish(c: Column) -> Column:
-        return F.when(gate, F.bround(c, 0) if rounded else c)
-
-    if groups_fit(df, keys):
-        return df.withColumns({new: finish(pct_rank(m, keys)) for new, m in measures.items()})
-
-    ranked = value_ranks(df.where(gate), keys, list(measures.values()))
-    out = df
-    for i, (new, measure) in enumerate(measures.items()):
-        mine = ranked.where(F.col("__measure") == i)
-        on = [*keys, "__value"]
-        out = lookup_join(
-            out.withColumn("__value", quoted(measure).cast("double")),
-            mine.select(*on, F.col("__pct").alias(new)),
-            on,
-            "left",
-            with_salts(mine, on, "__n"),
-        ).drop("__value")
-    return out.withColumns({new: finish(quoted(new)) for new in measures})
+    names = list(dict.fromkeys(measures.values()))
+    index = pin(order_index(df.where(gate), keys, names))
+    places = value_columns(df, names)
+    wanted = df.withColumns({f"__m{i}": F.when(gate, quoted(m)) for i, m in enumerate(names)})
+    chain = Chain(wanted, *[[*keys, f"__m{i}"] for i in range(len(names))])
+    for i, m in enumerate(names):
+        mine = index.where(F.col("__measure") == i).select(
+            *[quoted(k) for k in keys], F.col(places[m]).alias(f"__m{i}"), percent().alias(f"__p{i}")
+        )
+        chain.join(mine, [*keys, f"__m{i}"])
+    ranked = {
+        new: F.bround(f"__p{names.index(m)}", 0) if rounded else F.col(f"__p{names.index(m)}")
+        for new, m in measures.items()
+    }
+    out = chain.done().withColumns(ranked)
+    return out.select(*[quoted(c) for c in dict.fromkeys([*df.columns, *measures])])
 
 
 def rank_rows(
@@ -102,82 +74,56 @@ def rank_rows(
     """Percent ranks of many measures at once: ``row_key`` and one column per rank.
 
     The rows are turned to (group, measure, value), so all measures share one
-    count, one window over distinct values and one join. Only ranked rows appear;
-    join the result to ``df`` by the key. Build several of these from one table
-    rather than from each other's results.
+    index and one join. Only ranked rows appear; join the result to ``df`` by the
+    key. Build several of these from one table rather than from each other's results.
     """
     source = df.where(quoted(min_size[0]) >= min_size[1]) if min_size else df
-    ranked = value_ranks(source, keys, list(measures.values()))
-    on = [*keys, "__measure", "__value"]
+    names = list(measures.values())
+    index = pin(order_index(source, keys, names))
+    on = [*keys, "__measure", *dict.fromkeys(value_columns(source, names).values())]
     looked = lookup_join(
-        long_values(source, keys, list(measures.values()), row_key),
-        ranked.select(*on, "__pct"),
+        long_values(source, keys, names, row_key),
+        index.select(*[quoted(c) for c in on], percent().alias("__pct")),
         on,
         # Every value has its rank, so this equals an inner join; but only the ranks,
         # never the long rows, can be the broadcast side.
         "left",
-        with_salts(ranked, on, "__n"),
+        counted_directory(index, on, "__n"),
     )
     # After a broadcast join the values of a row are still in one task and become
     # one row again before this shuffle.
+    pct = F.bround("__pct", 0) if rounded else F.col("__pct")
     return looked.groupBy(row_key).agg(
-        *[
-            F.max(
-                F.when(
-                    F.col("__measure") == i,
-                    F.bround("__pct", 0) if rounded else F.col("__pct"),
-                )
-            ).alias(new)
-            for i, new in enumerate(measures)
-        ]
+        *[F.max(F.when(F.col("__measure") == i, pct)).alias(new) for i, new in enumerate(measures)]
     )
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """(keys, measure number, value) with its row count and percent rank."""
-    counted = value_counts(df, keys, measures)
-    group = [*keys, "__measure"]
-    if not fits_one_task(df):
-        counted = pin(counted)
-    if groups_fit(counted, group):
-        window = Window.partitionBy(*[quoted(k) for k in group])
-        before = window.orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = counted.withColumns(
-            {
-                "__below": F.coalesce(F.sum("__n").over(before), F.lit(0)),
-                "__total": F.sum("__n").over(window),
-            }
-        )
-    else:
-        ranked = running_counts(counted, group, "__value", "__n")
-    mean_rank = F.col("__below") + (F.col("__n") + 1) / F.lit(2.0)
-    ranked = ranked.withColumn("__pct", mean_rank / F.col("__total") * F.lit(100.0))
-    return ranked if fits_one_task(df) else pin(ranked)
-
-
 def attach_median(
     df: DataFrame,
     keys: Sequence[str],
     measures: Mapping[str, str],
 ) -> DataFrame:
     """Exact group medians ``{new column: measure}``: mean of the middle two values."""
-    if fits_one_task(df):
-        return attach(df, keys, {n: F.median(quoted(m)) for n, m in measures.items()})
-    counted = pin(value_counts(df, keys, list(measures.values())))
-    ranked = running_counts(counted, [*keys, "__measure"], "__value", "__n")
-    low = F.floor((F.col("__total") + 1) / 2)
-    high = F.ceil((F.col("__total") + 1) / 2)
+    return lookup_join(df, group_medians(df, keys, measures), keys, "left")
+
 
-    def at(position: Column) -> Column:
-        inside = (position > F.col("__below")) & (position <= F.col("__below") + F.col("__n"))
-        return F.when(inside, F.col("__value"))
+def group_medians(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """One row per group with the medians of all measures, picked by position from one index."""
+    names = list(measures.values())
+    places = value_columns(df, names)
+    index = order_index(df, keys, names)
 
+    def at(place: Column, name: str) -> Column:
+        inside = (place > F.col("__below")) & (place <= F.col("__below") + F.col("__n"))
+        return F.when(inside, F.col(places[name]))
+
+    low, high = F.floor((F.col("__total") + 1) / 2), F.ceil((F.col("__total") + 1) / 2)
     middles = {}
-    for i, new in enumerate(measures):
+    for i, (new, m) in enumerate(measures.items()):
         mine = F.col("__measure") == i
-        middles[new] = (F.max(F.when(mine, at(low))) + F.max(F.when(mine, at(high)))) / F.lit(2.0)
-    medians = group_stats(ranked, keys, middles)
-    return lookup_join(df, medians, keys, "left")
+        pair = [F.max(F.when(mine, at(place, m))) for place in (low, high)]
+        middles[new] = (pair[0] + pair[1]) / F.lit(2.0)
+    return group_stats(index, keys, middles)
 
 
 def attach_lag(
@@ -198,9 +144,6 @@ def attach_lag(
             for new, (c, n) in lags.items()
         }
 
-    if groups_fit(df, [key]):
-        return df.withColumns(earlier(Window.partitionBy(quoted(key)).orderBy(*by)))
-
     depth = max(n for _, n in lags.values())
     segments = sorted_segments(df, [quoted(key), *by])
     inside = Window.partitionBy("__seg", quoted(key))
@@ -239,64 +182,98 @@ def attach_lag(
     return fixed.select(*[quoted(c) for c in df.columns], *[quoted(n) for n in lags])
 
 
+# A value for the places of other types in a row of the index, so that rows compare as wholes.
+FILLERS = {T.StringType: "", T.DateType: "1970-01-01", T.TimestampType: "1970-01-01", T.TimestampNTZType: "1970-01-01", T.BooleanType: "false"}
+
+
+def value_columns(df: DataFrame, measures: Sequence[str]) -> dict[str, str]:
+    """The index column each measure's values stand in: one per data type."""
+    types = list(dict.fromkeys(df.schema[m].dataType for m in measures))
+    return {m: f"__v{types.index(df.schema[m].dataType)}" for m in measures}
+
+
 def long_values(
     df: DataFrame, keys: Sequence[str], measures: Sequence[str], *more: str
 ) -> DataFrame:
-    """One row per known value: keys, measure number and value."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(i).alias("__measure"), quoted(m).cast("double").alias("__value"))
-            for i, m in enumerate(measures)
+    """One row per known value: keys, measure number and value, the value in its type's column."""
+    places = value_columns(df, measures)
+    types = {places[m]: df.schema[m].dataType for m in measures}
+
+    def entry(i: int, measure: str) -> Column:
+        values = [
+            quoted(measure).alias(place)
+            if place == places[measure]
+            else F.lit(FILLERS.get(type(kind), "0")).cast(kind).alias(place)
+            for place, kind in types.items()
         ]
-    )
-    long = require(df, keys).select(*[quoted(k) for k in [*keys, *more]], F.inline(pairs))
-    return long.where(F.col("__value").isNotNull())
+        return F.struct(
+            F.lit(i).alias("__measure"), quoted(measure).isNotNull().alias("__known"), *values
+        )
 
+    pairs = F.array(*[entry(i, m) for i, m in enumerate(measures)])
+    long = require(df, keys).select(*[quoted(k) for k in [*keys, *more]], F.inline(pairs))
+    return long.where("__known").drop("__known")
 
-def value_counts(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """(keys, measure number, value, rows) for each known value, counted map-side first."""
-    return (
-        long_values(df, keys, measures)
-        .groupBy(*[quoted(k) for k in keys], "__measure", "__value")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
 
+def percent() -> Column:
+    """Percent rank of a value of the index: its average rank over the known values, times 100."""
+    mean_rank = F.col("__below") + (F.col("__n") + 1) / F.lit(2.0)
+    return mean_rank / F.col("__total") * F.lit(100.0)
 
-def segment_count(df: DataFrame) -> int:
-    """As many segments as the session shuffles into, more when the size asks for it."""
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = input_bytes(df)
-    by_size = size // ONE_TASK_BYTES[1] if size < 2**60 else 0  # no estimate above that
-    return max(configured, min(by_size, 100_000))
 
+def order_index(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """The order-statistic index of the measures within ``keys``.
 
-def sorted_segments(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """``df`` range partitioned by ``order`` with the pinned partition number ``__seg``."""
-    ranged = df.repartitionByRange(segment_count(df), *order)
-    return pin(ranged.withColumn("__seg", F.spark_partition_id()))
+    Columns: keys, ``__measure`` (its number), the value columns, ``__n`` (rows with this
+    value), ``__below`` (rows of the group with a smaller one), ``__total`` (rows of the group).
+    """
+    group = [*keys, "__measure"]
+    values = list(dict.fromkeys(value_columns(df, measures).values()))
+    counted = (
+        long_values(df, keys, measures)
+        .groupBy(*[quoted(c) for c in [*group, *values]])
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    names, order = [quoted(c) for c in group], [quoted(c) for c in values]
+    segments = sorted_segments(counted, [*names, *order])
+    piece = Window.partitionBy("__seg", *names)
+    before = piece.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = segments.withColumns(
+        {
+            "__here": F.coalesce(F.sum("__n").over(before), F.lit(0)),
+            "__inside": F.sum("__n").over(piece),
+        }
+    )
+    carried = carried_sums(segments, group)
+    joined = local.join(F.broadcast(carried), ["__seg", *group], "left")
+    return joined.select(
+        *names,
+        *order,
+        "__n",
+        (F.col("__here") + F.coalesce(F.col("__before"), F.lit(0))).alias("__below"),
+        F.coalesce(F.col("__all"), F.col("__inside")).alias("__total"),
+    )
 
 
-def running_counts(df: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
-    """Adds ``__below`` (rows with a smaller value) and ``__total`` (rows of the group).
+def carried_sums(segments: DataFrame, group: Sequence[str]) -> DataFrame:
+    """For groups that lie in several segments: rows in earlier segments and in all.
 
-    ``df`` has one row per (keys, value) with its row count.
+    Only one group lies on a border, so there are at most two rows per segment.
     """
-    names = [quoted(k) for k in keys]
-    segments = sorted_segments(df, [*names, quoted(value)])
-    piece = Window.partitionBy("__seg", *names)
-    before = piece.orderBy(quoted(value)).rowsBetween(Window.unboundedPreceding, -1)
-    local = segments.withColumn("__here", F.coalesce(F.sum(quoted(count)).over(before), F.lit(0)))
-    # One row per key and segment: at most one per segment for any key.
-    group = Window.partitionBy(*names)
-    earlier = group.orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
-    sums = segments.groupBy("__seg", *names).agg(F.sum(quoted(count)).alias("__sum"))
-    offsets = sums.select(
+    names = [quoted(c) for c in group]
+    sums = segments.groupBy("__seg", *names).agg(F.sum("__n").alias("__sum"))
+    whole = Window.partitionBy(*names)
+    earlier = whole.orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(
         "__seg",
         *names,
         F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"),
-        F.sum("__sum").over(group).alias("__total"),
-    )
-    joined = local.join(offsets, ["__seg", *keys])
-    return joined.withColumn("__below", F.col("__here") + F.col("__before")).drop(
-        "__seg", "__here", "__before"
-    )
+        F.sum("__sum").over(whole).alias("__all"),
+        F.count(F.lit(1)).over(whole).alias("__pieces"),
+    ).where(F.col("__pieces") > 1).drop("__pieces")
+
+
+def sorted_segments(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` range partitioned by ``order`` with the pinned partition number ``__seg``."""
+    ranged = df.repartitionByRange(tasks(df), *order)
+    return pin(ranged.withColumn("__seg", F.spark_partition_id()))

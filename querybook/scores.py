@@ -193,8 +193,8 @@ def scaled_rate(spark, folder):
 def weighted_findings(spark, folder):
     rows = load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
     rows = rows.withColumn("weight", finding_weight("l_linenumber"))
-    out = groups.attach(rows, ["l_orderkey", "l_linenumber"], {"by_finding": groups.total("weight")})
-    out = groups.attach(out, ["l_orderkey"], {"by_order": groups.total("weight")})
+    levels = {"by_finding": ["l_orderkey", "l_linenumber"], "by_order": ["l_orderkey"]}
+    out = groups.attach_sums(rows, levels, "weight")
     return out.drop("weight")
 
 

@@ -1,26 +1,23 @@
-"""Choose between the plain and the large-input path of the operators."""
+"""Choose how few rows make a key hot."""
 
 from contextlib import contextmanager
 
-from gradewell.operators.joins import MAX_ROWS, ONE_TASK_BYTES
+from gradewell.operators.spread import MAX_ROWS
 
 
 @contextmanager
-def limits(spark, rows=20, size=0):
-    """Treat every input as large and every key with more than ``rows`` rows as hot."""
-    values = {MAX_ROWS[0]: rows, ONE_TASK_BYTES[0]: size}
-    for key, value in values.items():
-        spark.conf.set(key, str(value))
+def limits(spark, rows=20):
+    """Treat every key with more than ``rows`` rows as hot."""
+    spark.conf.set(MAX_ROWS[0], str(rows))
     try:
         yield
     finally:
-        for key in values:
-            spark.conf.unset(key)
+        spark.conf.unset(MAX_ROWS[0])
 
 
 def both(spark, build):
-    """The same operator on the plain and on the large-input path."""
-    with limits(spark, size=2**62):
+    """The same operator with few hot keys and with many."""
+    with limits(spark, rows=10**9):
         plain = build()
     with limits(spark):
         forced = build()

@@ -2,11 +2,13 @@
 
 import io
 from contextlib import redirect_stdout
+from pathlib import Path
 
 import pytest
 
 import querybook
-from gradewell.operators import groups, joins, picks, ranks
+from gradewell.operators import groups, joins, picks, ranks, spread
+from gradewell.session import shared_folder
 from limits import limits
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def orders(spark, folder):
     return spark.read.parquet(f"{folder}/orders.parquet")
 
 
+@pytest.fixture(scope="module")
+def shared(spark):
+    return shared_folder(spark).removeprefix("file:")
+
+
 def test_row_choice_limits_groups_before_the_shuffle(orders):
     for df in (
         picks.last_per_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]),
@@ -35,23 +42,77 @@ def test_row_choice_limits_groups_before_the_shuffle(orders):
         assert text.count("WindowGroupLimit (") >= 2 and "Partial" in text
 
 
-def test_ranks_share_one_exchange(orders):
-    measures = {f"r{i}": c for i, c in enumerate(["o_totalprice", "o_orderkey", "o_orderdate"])}
-    df = ranks.attach_pct_rank(orders, ["o_custkey"], measures)
-    tree = plan(df).split("\n\n")[0]
-    assert tree.count("Exchange") == 1
+def pinned_once(folder):
+    """Parquet folders written under the shared folder."""
+    return set(Path(folder).glob("pinned-*"))
 
 
-def test_attach_has_no_window_and_counts_map_side(orders):
-    text = plan(groups.attach(orders, ["o_custkey"], {"n": F.count("o_orderkey")}))
-    assert "Window" not in text and "partial_count" in text
+def test_an_index_of_many_measures_counts_the_long_rows_in_one_exchange(spark, orders, shared):
+    before = pinned_once(shared)
+    measures = {f"m{i}": c for i, c in enumerate(["o_totalprice", "o_orderkey", "o_custkey"])}
+    medians = ranks.group_medians(orders, ["o_orderstatus"], measures)
+    assert len(pinned_once(shared) - before) == 1
+    tree = plan(medians).split("\n\n")[0]
+    # The rows themselves are in the written index: nothing reads the input again.
+    assert "orders.parquet" not in plan(medians) and tree.count("Scan parquet") <= 2
 
 
-def test_large_joins_are_salted(spark, orders):
-    with limits(spark, rows=10):
-        stats = groups.group_stats(orders, ["o_custkey"], {"n": F.count("o_orderkey")})
-        text = plan(joins.lookup_join(orders, stats, ["o_custkey"]))
-    assert "SPARK_PARTITION_ID()" in text and "__salt" in text
+def test_attach_has_no_window_and_reads_the_input_once_more(spark, orders, shared):
+    before = pinned_once(shared)
+    text = plan(groups.attach(orders, ["o_custkey"], {"n": F.count("o_orderkey")}))
+    assert "Window" not in text and text.split("\n\n")[0].count("Scan parquet") == 2
+    assert len(pinned_once(shared) - before) == 1
+
+
+def test_a_chain_deals_its_base_out_once_per_key_set(spark, orders):
+    stats = [groups.group_stats(orders, ["o_orderstatus"], {f"n{i}": F.count("o_orderkey")}) for i in range(6)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with limits(spark, rows=10):
+            text = plan(joins.star_join(orders, [(s, ["o_orderstatus"]) for s in stats]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    salted = [line for line in text.splitlines() if "hashpartitioning(o_orderstatus" in line and "__salt0" in line]
+    # The base and the six sides, each once.
+    assert len(salted) == 7
+
+
+def rows_by_task(df, *columns):
+    """Rows of each shuffle task that has any."""
+    return [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("arrives", ["scanned", "dealt by the key", "equal rows dealt by the key"])
+def test_no_task_gets_more_than_twice_the_limit_after_six_joins(spark, tmp_path, adaptive, arrives):
+    rows, limit = 400_000, 20_000
+    content = F.lit(1) if arrives.startswith("equal") else F.col("id")
+    base = spark.range(0, rows + 40_000, numPartitions=16).select(
+        F.when(F.col("id") < rows, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"), content.alias("v")
+    )
+    if arrives == "equal rows dealt by the key":
+        base = spread.numbered(base.repartition(64, "k"))
+    elif arrives == "dealt by the key":
+        base = base.repartition(64, "k")
+    sides = [(base.groupBy("k").agg(F.count(F.lit(1)).alias(f"n{i}")), ["k"]) for i in range(6)]
+    settings = {
+        "spark.sql.adaptive.enabled": adaptive,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        with limits(spark, rows=limit):
+            joined = joins.star_join(base, sides)
+        counts = rows_by_task(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(counts) == rows + 40_000 and max(counts) <= 2 * limit
 
 
 def test_filters_and_columns_reach_the_scan(spark, folder):
