@@ -184,4 +184,4 @@ def report(versions: DataFrame, ledger: Ledger, rules: Mapping[str, Rule] = RULE
     assert known is not None, "update the ledger first"
     found = lookup_join(paths, pin(findings(known, rules)), ["blob"], "left", directory(paths, ["blob"]))
     none = F.array().cast("array<struct<start: bigint, rank: int, kind: string, end: bigint>>")
-    return found.withColumn("findings", F.coalesce("findings", none))
+    return found.select(*[F.col(f"`{c}`") for c in paths.columns], F.coalesce("findings", none).alias("findings"))

@@ -15,6 +15,8 @@ judged on the input. Lines without words stay.
    to a whole line is an insertion. A group keeps only its earliest line, so no
    pairs within a group are made, and the word lists decide at the end.
 
+The rows of a hot line, half or variant are spread over salts (``lookup_join``).
+
 Rows that repeat a doc_id with the same text are one document with one result;
 null doc_ids come last; null and empty texts have one line without words.
 """
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 
 from gradewell.llm.fingerprint import split_words
 from gradewell.llm.tables import pin, row_id, text_key
+from gradewell.operators.joins import lookup_join
 
 SHORTEST = 8
 
@@ -86,7 +89,7 @@ def candidates(table: DataFrame) -> DataFrame:
         "cut_early": (number == 3) & F.col("longer"),
         "whole": (number < 2) & F.col("longer"),
     }
-    met = halves.join(shared, "half").groupBy("h").agg(*[F.max(c).alias(name) for name, c in flags.items()])
+    met = lookup_join(halves, shared, ["half"], "inner").groupBy("h").agg(*[F.max(c).alias(name) for name, c in flags.items()])
     return met.where(" OR ".join(flags))
 
 
@@ -124,7 +127,7 @@ def variant_rows(lines: DataFrame) -> DataFrame:
 
 def near_lines(lines: DataFrame) -> DataFrame:
     """(h, g) of the lines with an earlier one within one word edit; ``lines`` has words and should be pinned."""
-    rows = variant_rows(lines)
+    rows = pin(variant_rows(lines))
     groups = (
         rows.groupBy("key")
         .agg(
@@ -136,7 +139,7 @@ def near_lines(lines: DataFrame) -> DataFrame:
         .where(F.struct("first.h", "first.g") != F.struct("last.h", "last.g"))
     )
     other = F.when(F.col("role") == 0, F.col("first")).when(F.col("role") == 1, F.col("whole")).otherwise(F.col("variant"))
-    met = rows.join(groups, "key").withColumn("other", other)
+    met = lookup_join(rows, groups, ["key"], "inner").withColumn("other", other)
     pairs = met.where(F.struct("other.id", "other.pos") < F.struct("line.id", "line.pos")).select(
         F.col("line.h").alias("h"),
         F.col("line.g").alias("g"),
@@ -164,7 +167,8 @@ def repeated_lines(texts: DataFrame) -> DataFrame:
     """(id, key, pos) of the lines that go."""
     table = pin(line_table(texts))
     first = table.groupBy("h", "g").agg(F.min(F.struct("id", "pos", "key")).alias("first"))
-    later = table.select("id", "key", "pos", "h", "g").join(first, ["h", "g"]).where(F.struct("id", "pos") != F.struct("first.id", "first.pos"))
+    places = lookup_join(table.select("id", "key", "pos", "h", "g"), first, ["h", "g"], "inner")
+    later = places.where(F.struct("id", "pos") != F.struct("first.id", "first.pos"))
     wanted = first.join(candidates(table), "h").select(
         "first.id", "first.key", F.struct("first.pos", "h", "g", "early", "late", "cut_early", "cut_late", "whole").alias("at")
     )
@@ -183,16 +187,17 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     Other columns stay; old ones of these three names are replaced.
     """
     docs = docs.drop("n_lines", "n_removed", "kept_text")
-    keyed = docs.withColumns({"__id": row_id(), "__key": text_key()})
-    texts = keyed.select(F.col("__id").alias("id"), F.col("__key").alias("key"), "text")
+    # The row as one struct: its columns may have any names.
+    keyed = docs.select(row_id().alias("__id"), text_key().alias("__key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    texts = docs.select(row_id().alias("id"), text_key().alias("key"), "text")
     gone = pin(repeated_lines(texts).groupBy("id", "key").agg(F.collect_set("pos").alias("__gone")))
     gone = gone.withColumnsRenamed({"id": "__id", "key": "__key"})
-    joined = keyed.join(gone, ["__id", "__key"], "left").withColumn("__lines", line_list())
+    joined = keyed.join(gone, ["__id", "__key"], "left").withColumn("__lines", line_list("row.text"))
     places = F.sequence(F.lit(0), F.size("__lines") - 1)
     stay = F.array_except(places, F.coalesce("__gone", F.array().cast("array<int>")))
     kept = F.array_join(F.transform(stay, lambda i: F.get("__lines", i)), "\n")
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *[F.col("row")[c].alias(c) for c in docs.columns],
         F.size("__lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
         kept.alias("kept_text"),

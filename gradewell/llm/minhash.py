@@ -12,7 +12,8 @@ similarity. Points beyond a text's latest register are never made.
 probability 7e-5). Equal texts are one representative, found by an aggregate.
 Within a bucket every member is first held against one hub, and in two further
 rounds against another hub each; that joins large classes cheaply. A hub is
-settled in its bucket. Whatever members of different classes then remain in a
+settled in its bucket. Texts whose sizes alone keep them below ``LIKE`` are not
+compared, and the rows of a hot bucket are spread over salts. Whatever members of different classes then remain in a
 bucket are compared pair by pair, in cells of two blocks (``check_cells``), so
 every candidate pair is verified or lies within a class already. The multisets
 decide every pair. Classes are the components of verified links.
@@ -31,12 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradewell.llm.neighbours import groups
 from gradewell.llm.tables import pin, row_id, text_key
-from gradewell.llm.text import U, Words, mix, shingles, small_batches
+from gradewell.llm.text import U, Words, light_batches, mix, shingles
+from gradewell.operators.joins import lookup_join
+from gradewell.operators.spread import directory
 
 WORDS, BANDS, ROWS, LIKE, HUB_ROUNDS = 5, 24, 5, 0.8, 3
 # A block of a bucket has about so many members and words; stripes are columns of one matrix product.
@@ -101,7 +104,7 @@ SKETCH = "id long, key long, a long, b long, n long, bands array<long>"
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two hashes of the word sequence, number of words, and a hash of each band."""
-    for batch in small_batches(batches, most=1 << 23):
+    for batch in light_batches(batches):
         words = Words(batch.column("text"))
         n = batch.num_rows
         best = signatures(*bags(words), n, BANDS * ROWS).view(U).reshape(n, BANDS, ROWS)
@@ -124,7 +127,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def make_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's shingles in order, repeated as often as they occur, as 64-bit numbers."""
-    for batch in small_batches(batches):
+    for batch in light_batches(batches):
         document, shingle, count = bags(Words(batch.column("text")))
         document, shingle = np.repeat(document, count), np.repeat(shingle, count)
         cuts = np.searchsorted(document, np.arange(batch.num_rows + 1))
@@ -225,7 +228,7 @@ def components(edges: DataFrame) -> DataFrame:
         after = own.unionByName(seen).groupBy("v").agg(F.min("label").alias("label"), F.max("old").alias("old"))
         if step >= 2:
             jump = labels.select(F.col("v").alias("label"), F.col("label").alias("next"))
-            after = after.join(jump, "label").select("v", F.least("label", "next").alias("label"), "old")
+            after = lookup_join(pin(after), jump, ["label"], "inner").select("v", F.least("label", "next").alias("label"), "old")
         after = pin(after)
         labels = after.drop("old")
         if after.where("label <> old").isEmpty():
@@ -233,6 +236,12 @@ def components(edges: DataFrame) -> DataFrame:
         step += 1
 
 
+def may_be_like(n: str, m: str, like: float) -> Column:
+    """Bags of texts of n and m words can share enough: no more than the smaller one's shingles of the larger one's."""
+    size, other = (F.greatest(F.col(c) - (WORDS - 1), F.lit(1)) for c in (n, m))
+    return F.least(size, other) >= F.greatest(size, other) * F.lit(like - 1e-9)
+
+
 def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """``members`` with their class so far, themselves where no link is known."""
     if labels is None:
@@ -288,7 +297,8 @@ def near_duplicates(docs: DataFrame, like: float = LIKE) -> DataFrame:
     same = pin(worded.groupBy("a", "b").agg(F.min(F.struct("id", "key")).alias("v"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     places = same.select("v", "n", F.explode("bands").alias("bucket"))
     shared = places.groupBy("bucket").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least <> most").select("bucket")
-    live = pin(places.join(shared, "bucket"))
+    hot = directory(places, ["bucket"])
+    live = pin(lookup_join(places, shared, ["bucket"], "inner", hot))
     bag_ids = live.select("v").distinct()
     keyed = texts.withColumn("v", F.struct("id", "key")).select("v", "text").join(bag_ids, "v").dropDuplicates(["v"])
     held = pin(keyed.mapInArrow(make_bags, f"v {VERTEX}, bag binary"))
@@ -296,10 +306,10 @@ def near_duplicates(docs: DataFrame, like: float = LIKE) -> DataFrame:
     tried = None
     for step in range(HUB_ROUNDS):
         at = labelled(live, labels)
-        order = F.struct(F.lit(0) if step == 0 else F.xxhash64("v", F.lit(step)), "v", "label")
+        order = F.struct(F.lit(0) if step == 0 else F.xxhash64("v", F.lit(step)), "v", "label", "n")
         hubs = at.groupBy("bucket").agg(F.min(order).alias("hub"), F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("bucket", "hub")
-        met = at.join(hubs, "bucket")
-        pairs = met.where("label <> hub.label").select(F.least("v", "hub.v").alias("v"), F.greatest("v", "hub.v").alias("w")).distinct()
+        met = lookup_join(at, hubs, ["bucket"], "inner", hot)
+        pairs = met.where("label <> hub.label").where(may_be_like("n", "hub.n", like)).select(F.least("v", "hub.v").alias("v"), F.greatest("v", "hub.v").alias("w")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["v", "w"], "left_anti")
         pairs = pin(pairs)
@@ -334,6 +344,8 @@ def classify(docs: DataFrame, like: float = LIKE) -> DataFrame:
     """
     docs = docs.drop("class_id", "n_links", "stays")
     classes = near_duplicates(docs, like).withColumnsRenamed({"id": "__id", "key": "__key"})
-    keyed = docs.withColumns({"__id": row_id(), "__key": text_key()})
+    # The row as one struct: its columns may have any names.
+    keyed = docs.select(row_id().alias("__id"), text_key().alias("__key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     stays = (F.col("__id") == F.col("class_id")) & (F.col("__key") == F.col("class_key"))
-    return keyed.join(classes, ["__id", "__key"]).select(*[F.col(f"`{c}`") for c in docs.columns], "class_id", "n_links", stays.alias("stays"))
+    joined = keyed.join(classes, ["__id", "__key"])
+    return joined.select(*[F.col("row")[c].alias(c) for c in docs.columns], "class_id", "n_links", stays.alias("stays"))

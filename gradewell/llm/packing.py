@@ -4,9 +4,9 @@ Tokens: the given tokenizer's ids of the whole text, then ``END``. Every word
 between ASCII white space is encoded once per worker and then looked up; the
 tokenizer drops white space, so its ids are those of the words in a row.
 
-Packing reads one small row per piece. Pieces are dealt by a hash over tasks of
-about ``TASK_SEQUENCES`` sequences each, so the number of tasks follows the
-token count and the last bins of a task are a small share. A task keeps at most
+Packing reads one small row per piece. Pieces are dealt by a hash of their row number over
+tasks of about ``TASK_SEQUENCES`` sequences and ``TASK_ROWS`` rows at most, so the number of
+tasks follows the tokens and the last bins of a task are a small share. A task keeps at most
 ``OPEN`` bins, found through a bitset whose bit f says that a bin with f free
 tokens is open; a piece goes where it leaves least room, and when a bin must be
 closed the fullest goes.
@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradewell.llm.tables import pin
-from gradewell.llm.text import small_batches
+from gradewell.llm.text import light_batches
 
-CAPACITY, END, OPEN, TASK_SEQUENCES = 4096, 1, 1024, 4000
-CACHE = 600_000
+CAPACITY, END, OPEN, TASK_SEQUENCES, TASK_ROWS = 4096, 1, 1024, 4000, 500_000
+CACHE = 250_000
 _encoders: dict[str, Encoder] = {}
 # The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the rest follow from 256.
 _printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -99,7 +99,7 @@ def tokenise(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: boo
     width = 4 * capacity
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in light_batches(batches):
             names = batch.column("doc_id").to_pylist()
             texts = batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
             rows: list[tuple] = []
@@ -150,19 +150,26 @@ def best_fit(lengths: list[int], capacity: int, most: int) -> tuple[list[int], l
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, most: int = OPEN) -> DataFrame:
-    """Every piece with its ``sequence_id`` and ``offset``; ``pieces`` is read twice, so pin it."""
-    total = pieces.agg(F.sum("length")).first()[0] or 0
-    tasks = -(-total // (capacity * TASK_SEQUENCES)) or 1
-    task = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(tasks)).cast("int")
+    """Every piece with its ``sequence_id`` and ``offset``; ``pieces`` is read twice and must be a written table.
+
+    A row's number in that table deals it out, so rows that repeat spread like others, and a
+    task, bounded in tokens and rows, packs its pieces in the order of their numbers
+    whatever order they arrive in.
+    """
+    total, rows = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
+    tasks = max(-(-total // (capacity * TASK_SEQUENCES)), -(-rows // TASK_ROWS), 1)
 
     def fill(batch: pa.Table) -> pa.Table:
+        batch = batch.sort_by("row")
         bins, offsets = best_fit(batch.column("length").to_pylist(), capacity, most)
         first = batch.column("task")[0].as_py() << 40
-        placed = batch.drop_columns("task").append_column("sequence_id", pa.array([first + b for b in bins], pa.int64()))
+        placed = batch.drop_columns(["task", "row"]).append_column("sequence_id", pa.array([first + b for b in bins], pa.int64()))
         return placed.append_column("offset", pa.array(offsets, pa.int64()))
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return pieces.withColumn("task", task).groupBy("task").applyInArrow(fill, f"{names}, sequence_id long, offset long")
+    numbered = pieces.withColumn("row", F.monotonically_increasing_id())
+    dealt = numbered.withColumn("task", F.pmod(F.xxhash64("row"), F.lit(tasks)).cast("int"))
+    return dealt.groupBy("task").applyInArrow(fill, f"{names}, sequence_id long, offset long")
 
 
 def best_fit_packing(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

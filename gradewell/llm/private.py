@@ -4,12 +4,14 @@ The patterns give the base spans of each kind. The field labels *units*: base
 spans, other digit groups and words that look like an account name. A unit's
 potentials come from its form; units that stand close share a chain potential;
 units with equal digits or equal name, however far apart, share a skip
-potential. Loopy message passing then carries a label from one mention to its
-bare repeats. Base spans are observed; another unit becomes a span of a kind
+potential, and units that are only similar (the same last seven digits, or a name
+with the same letters) share a part ``ALIKE`` of it. Loopy message passing then carries
+a label from one mention to its bare repeats. Base spans are observed; another unit becomes a span of a kind
 when its marginal reaches ``SURE``.
 
-The field is trained on the base spans of at most ``TRAIN_UNITS`` units, taken
-by the smallest hashes of their documents: form weights by multinomial
+The field is trained on at most ``TRAIN_UNITS`` units, a parameter: whole documents by their
+smallest hashes, and of the last one those with the smallest hashes of their places. It
+learns form weights by multinomial
 regression, where the telling mark of a kind (plus sign, at sign, check digit)
 is hidden in a copy of each span, edge potentials by counting label pairs.
 A unit is linked to the previous one with its key, so a text with many repeats
@@ -28,13 +30,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gradewell.llm.tables import pin
-from gradewell.llm.text import small_batches
+from gradewell.llm.tables import pin, row_id, text_key
+from gradewell.llm.text import light_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-TRAIN_UNITS, SURE, ROUNDS, NEAR, STRAY = 20_000, 0.8, 8, 40, 0.05
+TRAIN_UNITS, SURE, ROUNDS, NEAR, STRAY, ALIKE = 20_000, 0.8, 8, 40, 0.05, 0.5
 
 # Fixed patterns of the base spans. Each starts where its run of characters starts.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -42,9 +45,10 @@ LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*$")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9]){11,}")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-# Other digit groups, and names with a dot and digits.
+# Other digit groups, and words that may be an account name.
 GROUP = re.compile(r"(?<![\w.@%+-])[0-9(](?:[ ().-]{0,2}[0-9]){6,18}(?![\w@])")
-NOT_DIGIT = re.compile(r"[^0-9]")
+NAME = re.compile(r"(?<![\w.@%+-])[A-Za-z][A-Za-z0-9._%+-]*[A-Za-z0-9](?![\w@])")
+NOT_DIGIT, NOT_LETTER = re.compile(r"[^0-9]"), re.compile(r"[^a-z]")
 
 
 def luhn(digits: str) -> bool:
@@ -100,6 +104,17 @@ def unit_key(text: str, kind: int) -> str:
     return digits[-10:]
 
 
+LEAST_LETTERS = 6
+
+
+def near_key(key: str) -> str:
+    """What similar keys share: the last seven digits, or the letters of a name."""
+    if not key.startswith("@"):
+        return key[-7:]
+    letters = NOT_LETTER.sub("", key)
+    return "@" + (letters if len(letters) >= LEAST_LETTERS else key)
+
+
 def form(text: str) -> list[float]:
     digits = NOT_DIGIT.sub("", text)
     n = len(digits)
@@ -134,14 +149,15 @@ def units(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
         return all(y <= a for _, y in taken[max(i - 4, 0) : i])
 
     out += [(m.start(), m.end(), -1, unit_key(m[0], 3), form(m[0])) for m in GROUP.finditer(text) if free(m.start(), m.end())]
+    # Account names that are more than one plain word, and their letters for names like them.
     names = {k[1:] for _, _, label, k, _ in out if label == 1 and len(k) >= 6 and not k[1:].isalpha()}
+    letters = {x for x in (NOT_LETTER.sub("", n) for n in names) if len(x) >= LEAST_LETTERS}
     if names:
-        pattern = re.compile(r"(?<![\w.@%+-])[A-Za-z][A-Za-z._%+-]*[0-9][A-Za-z0-9._%+-]*(?![\w@])")
-        out += [
-            (m.start(), m.end(), -1, "@" + m[0].lower(), form(m[0]))
-            for m in pattern.finditer(text)
-            if m[0].lower() in names and free(m.start(), m.end())
-        ]
+        for m in NAME.finditer(text):
+            word = m[0].lower()
+            known = word in names or not word.isalpha() and NOT_LETTER.sub("", word) in letters
+            if known and free(m.start(), m.end()):
+                out.append((m.start(), m.end(), -1, "@" + word, form(m[0])))
     return sorted(out)
 
 
@@ -154,7 +170,7 @@ def find(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in light_batches(batches):
             counts, texts, unit_rows = [], [], []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text or "")
@@ -176,12 +192,12 @@ class Field:
     def __init__(self, forms: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         self.forms, self.chain, self.skip = forms, chain, skip
 
-    def marginals(self, form: np.ndarray, label: np.ndarray, edges: np.ndarray, is_skip: np.ndarray) -> np.ndarray:
+    def marginals(self, form: np.ndarray, label: np.ndarray, edges: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """Beliefs of all units; rows of ``edges`` join two of them. Everything is in logarithms."""
         node = form @ self.forms
         node[label >= 0] = -30.0
         node[label >= 0, label[label >= 0]] = 0.0
-        tables = np.where(is_skip[:, None, None], self.skip, self.chain)
+        tables = np.stack((self.chain, self.skip, ALIKE * self.skip))[kinds]
         ends = np.concatenate((edges, edges[:, ::-1]))
         tables = np.concatenate((tables, tables.transpose(0, 2, 1)))
         messages = np.zeros((len(ends), len(LABELS)))
@@ -199,33 +215,45 @@ class Field:
         return np.exp(belief - np.logaddexp.reduce(belief, axis=1, keepdims=True))
 
 
+CHAIN, SKIP, SIMILAR = range(3)
+
+
 def links(rows: list[list[dict]]) -> tuple[np.ndarray, np.ndarray]:
-    """Edges between units of the same document: close neighbours, and the previous unit with the same key."""
-    edges, skips, n = [], [], 0
+    """Edges between units of the same document, and their kinds.
+
+    Close neighbours, the previous unit with the same key, and, for the first unit
+    with its key, the previous unit with a similar one.
+    """
+    edges, kinds, n = [], [], 0
     for found in rows:
         last: dict[str, int] = {}
+        alike: dict[str, int] = {}
         for i, u in enumerate(found):
+            near = near_key(u["key"])
             if i and u["start"] - found[i - 1]["stop"] <= NEAR:
                 edges.append((n + i - 1, n + i))
-                skips.append(False)
+                kinds.append(CHAIN)
             if u["key"] in last:
                 edges.append((n + last[u["key"]], n + i))
-                skips.append(True)
-            last[u["key"]] = i
+                kinds.append(SKIP)
+            elif near in alike:
+                edges.append((n + alike[near], n + i))
+                kinds.append(SIMILAR)
+            last[u["key"]] = alike[near] = i
         n += len(found)
-    return np.array(edges, np.int64).reshape(-1, 2), np.array(skips, bool)
+    return np.array(edges, np.int64).reshape(-1, 2), np.array(kinds, np.int64)
 
 
 def fit(rows: list[list[dict]]) -> Field:
     """Weights from the units of sampled documents.
 
     A unit without a base span counts as none, unless a base span of its document
-    has its key: what such a repeat is, is the question, so it teaches nothing.
+    has its key or a similar one: what such a repeat is, is the question, so it teaches nothing.
     Skip potentials come from pairs of base spans; a repeat is none by ``STRAY``.
     """
     every = [u for found in rows for u in found]
-    named = [{u["key"] for u in found if u["label"] >= 0} for found in rows]
-    open_units = [u["label"] < 0 and u["key"] in keys for found, keys in zip(rows, named, strict=True) for u in found]
+    named = [{near_key(u["key"]) for u in found if u["label"] >= 0} for found in rows]
+    open_units = [u["label"] < 0 and near_key(u["key"]) in keys for found, keys in zip(rows, named, strict=True) for u in found]
     x = np.array([u["form"] for u in every]).reshape(-1, FORMS)
     y = np.array([max(u["label"], 0) for u in every], np.int64)
     hidden = [(i, TELLING[k - 1]) for i, k in enumerate(y) if k - 1 in TELLING]
@@ -239,11 +267,12 @@ def fit(rows: list[list[dict]]) -> Field:
         p = np.exp(score - np.logaddexp.reduce(score, axis=1, keepdims=True))
         p[np.arange(len(forms)), labels] -= 1
         weights -= 2.0 * (forms.T @ p / len(forms) + 1e-4 * weights)
-    edges, is_skip = links(rows)
+    edges, edge_kinds = links(rows)
+    is_skip = edge_kinds == SKIP
     kinds = len(LABELS)
     chain, skip = np.ones((kinds, kinds)), np.ones((kinds, kinds)) + 4 * np.eye(kinds)
     both = (y[edges] > 0).all(1)
-    near = ~is_skip & teach[edges].all(1)
+    near = (edge_kinds == CHAIN) & teach[edges].all(1)
     np.add.at(chain, (y[edges[near, 0]], y[edges[near, 1]]), 1)
     np.add.at(skip, (y[edges[is_skip & both, 0]], y[edges[is_skip & both, 1]]), 1)
     chain, skip = chain + chain.T, (skip + skip.T)[1:, 1:]
@@ -256,16 +285,13 @@ def fit(rows: list[list[dict]]) -> Field:
 
 
 def sample(found: DataFrame, most: int = TRAIN_UNITS) -> list[list[dict]]:
-    """Units of the documents with the smallest hashes, ``most`` documents with units at the most."""
-    some = found.where(F.size("units") > 0).select(F.slice("units", 1, 50).alias("units"), F.xxhash64("doc_id", "base").alias("h"))
-    rows = some.orderBy("h").limit(most // 10).select("units").collect()
-    out, n = [], 0
-    for r in rows:
-        if n >= most:
-            break
-        out.append([u.asDict() for u in r["units"]])
-        n += len(r["units"])
-    return out
+    """``most`` units to learn from, by document; see the module text for which."""
+    units = found.select(F.xxhash64("doc_id", "base").alias("doc"), F.explode("units").alias("u"))
+    some = units.orderBy("doc", F.xxhash64("doc", "u.start"), "u.start").limit(most)
+    out: dict[int, list[dict]] = {}
+    for r in some.collect():
+        out.setdefault(r["doc"], []).append(r["u"].asDict())
+    return [sorted(rows, key=lambda u: u["start"]) for rows in out.values()]
 
 
 def label(found: DataFrame, field: Field, sure: float = SURE) -> DataFrame:
@@ -307,15 +333,15 @@ def find_private(docs: DataFrame) -> DataFrame:
 
 def mask_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; ``found`` has id, key and spans."""
-    from gradewell.llm.tables import row_id, text_key
-
     names = docs.columns
-    keyed = docs.withColumns({"__id": row_id(), "__key": text_key()})
+    # The other columns as one struct: they may have any names.
+    others = [c for c in names if c != "text"]
+    keyed = docs.select(row_id().alias("__id"), text_key().alias("__key"), "text", F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in others]).alias("row"))
     spans = found.select(F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("spans").alias("__spans"))
-    joined = keyed.join(spans.dropDuplicates(["__id", "__key"]), ["__id", "__key"], "left").select(*names, "__spans")
+    joined = keyed.join(spans.dropDuplicates(["__id", "__key"]), ["__id", "__key"], "left").select("row", "text", "__spans")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in light_batches(batches):
             out = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist(), strict=True):
                 done, parts = 0, []
@@ -324,7 +350,7 @@ def mask_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
                         parts += [text[done : int(a)], f"[{k}]"]
                     done = max(done, int(b))
                 out.append(text if text is None else "".join([*parts, text[done:]]))
-            made = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
-            yield pa.RecordBatch.from_arrays([made.column(c) for c in names], names)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], ["row", "text"])
 
-    return joined.mapInArrow(rows, docs.schema)
+    made = joined.mapInArrow(rows, T.StructType([joined.schema["row"], T.StructField("text", T.StringType())]))
+    return made.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in names])

@@ -8,6 +8,8 @@ alone, not on the batch.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ _random = np.random.Generator(np.random.PCG64(20260101))
 TABLE = _random.integers(1, 2**63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
 BASE = int(_random.integers(1, 2**62)) * 2 + 1
 BASE_INVERSE = pow(BASE, -1, 2**64)
-SLICE = 1 << 21
+SLICE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -108,3 +110,18 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", most:
             total += int(size)
         for a, b in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
             yield batch.slice(a, b - a)
+
+
+def give_back() -> None:
+    """Return what a finished task has freed, so that a reused worker starts its next one small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def light_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """``small_batches`` of at most 2 MB for work with many arrays per byte; memory is given back after the last."""
+    yield from small_batches(batches, column, 1 << 21)
+    give_back()

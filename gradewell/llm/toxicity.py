@@ -2,16 +2,22 @@
 
 Words are read as classes: insult (with a weight), threat, target, negation,
 report, other. Small transducers each change the weight of a clause's insults
-and threats: a target close by raises it, a negation shortly before lowers it,
-reported speech lowers all that follows. They are composed into one machine
-whose states are tuples of theirs; a clause's score is the weight that the
-machine emits on its way, so an isolated word counts less than an aimed one.
+and threats: a target close by raises it, a negation shortly before takes most of it
+away, and so does reported speech for all that follows. They are composed into one
+machine whose states are tuples of theirs; a clause's score is the weight that the
+machine emits on its way. Clauses end at . ! ? ; and line breaks; a colon or comma
+ends none, so a report reaches what it introduces.
+
+All features of a text are made of its clause scores: their sum, the largest, the number
+of clauses that match (score at least ``MATCH``) and their share. No word counts
+by itself: a negated or quoted insult counts as little as its clause does.
 
 What is an insult is learned: for labelled texts, words and word beginnings are
 counted by document, and those with a high lower bound of their log odds enter
-the lexicon. A logistic model over clause scores turns them into a probability.
-Training takes at most ``TRAIN_ROWS`` labelled rows, by smallest id hashes;
-that bound is a parameter. Language, source, ids and labels feed no score.
+the lexicon, the ``LEXICON`` strongest at most; that bound is a parameter. A logistic
+model over the features turns them into a probability. Training takes at most
+``TRAIN_ROWS`` labelled rows, by smallest id hashes; that bound is a parameter too.
+Language, source, ids and labels feed no score.
 
 A null or empty text has no clause and gets the model's score of nothing.
 Repeated rows and null ids are scored as they are; labels whose document is
@@ -31,18 +37,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradewell.llm.text import small_batches
+from gradewell.llm.text import light_batches
 
-TRAIN_ROWS, LEXICON, LEAST_DOCS, LEAST_WEIGHT = 20_000, 3_000, 4, 0.7
+TRAIN_ROWS, LEXICON, LEAST_DOCS, LEAST_WEIGHT = 20_000, 3_000, 4, 1.5
 STEMS = (4, 5, 6, 7)
-WORD = re.compile(r"[^\W\d_]+")
-CLAUSE = re.compile(r"[.!?;:\n]+")
+WORD = re.compile(r"[^\W\d_]+(?:['\u2019][^\W\d_]+)*")
+CLAUSE = re.compile(r"[.!?;\n]+")
+# Least score of a clause that matches; words whose class a worker keeps at a time.
+MATCH, KNOWN_WORDS = 1.0, 100_000
+RIDGE = 0.1
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 # Function words of the four languages.
 TARGETS = "you your yours u he she they him her them du dich dein ihr euch tu te toi vous ton ta tes tú ti usted ustedes él ella ellos".split()
-NEGATIONS = "not never no isn't ain't nicht kein keine nie ne pas jamais nunca tampoco".split()
+NEGATIONS = "not never no isn't ain't aren't wasn't weren't nicht kein keine nie ne pas jamais nunca tampoco".split()
 REPORTS = "said says wrote called quote quoted reported claims sagte schrieb nannte dit disait écrit dijo decía escribió".split()
-THREATS = "kill hurt destroy beat burn shoot die töten umbringen schlagen tuer frapper détruire matar golpear destruir".split()
+THREATS = "kill hurt destroy beat burn shoot töten umbringen schlagen tuer frapper détruire matar golpear destruir".split()
 CLASSES = {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT), **dict.fromkeys(THREATS, THREAT)}
 
 # A transducer: start state, and (state, class) -> (next state, factor on the emitted weight).
@@ -80,14 +89,24 @@ def compose(a: Transducer, b: Transducer) -> Transducer:
     return 0, arcs
 
 
+# The parts of the grammar: what a word of a class does to insults and threats after it.
+PARTS = (
+    window(TARGET, 4, 1.75),
+    window(INSULT, 6, 1.25),
+    window(THREAT, 4, 1.5),
+    window(NEGATION, 3, 0.1),
+    onward(REPORT, 0.1),
+)
+
+
 def grammar() -> Transducer:
-    machine = window(TARGET, 4, 1.5)
-    for part in (window(INSULT, 6, 1.25), window(NEGATION, 3, 0.4), onward(REPORT, 0.6), window(THREAT, 4, 1.5)):
+    machine = PARTS[0]
+    for part in PARTS[1:]:
         machine = compose(machine, part)
     return machine
 
 
-FEATURES = 7
+FEATURES = 5
 
 
 class Scorer:
@@ -100,9 +119,9 @@ class Scorer:
 
     def read(self, word: str) -> tuple[int, float]:
         """Class and weight of a lower-case word: itself, else its heaviest beginning."""
-        if len(self.known) > 400_000:
+        if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        got = CLASSES.get(word)
+        got = CLASSES.get(word.replace("\u2019", "'"))
         if got is not None:
             made = (got, 2.0 if got == THREAT else 0.0)
         else:
@@ -111,30 +130,35 @@ class Scorer:
         self.known[word] = made
         return made
 
-    def features(self, text: str) -> list[float]:
-        """Summed, squared and largest clause scores, hits and their share of the words, of one text."""
+    def emit(self, words: list[str]) -> float:
+        """Score of one clause."""
+        known = self.known
+        state, total = self.start, 0.0
+        for w in words:
+            c, weight = known.get(w) or self.read(w)
+            state, factor = self.arcs[state, c]
+            if weight:
+                total += weight * factor
+        return total
+
+    def clauses(self, text: str) -> tuple[list[float], int]:
+        """Scores of the clauses with an insult or threat, and the number of all clauses that have words."""
         known = self.known
         lower = text.lower()
-        words = WORD.findall(lower)
-        hits = {w for w in set(words) if (known.get(w) or self.read(w))[1]}
-        if not hits:
-            return [1.0] + [0.0] * (FEATURES - 1)
-        scores, kinds, count = [], set(), 0
+        hits = {w for w in set(WORD.findall(lower)) if (known.get(w) or self.read(w))[1]}
+        scores, count = [], 0
         for clause in CLAUSE.split(lower):
-            found = WORD.findall(clause)
-            if hits.isdisjoint(found):
-                continue
-            state, total = self.start, 0.0
-            for w in found:
-                c, weight = known.get(w) or self.read(w)
-                state, factor = self.arcs[state, c]
-                if weight:
-                    total += weight * factor
-                    kinds.add(w)
-                    count += 1
-            scores.append(total)
-        best = sorted((self.read(w)[1] for w in kinds), reverse=True)
-        return [1.0, math.log1p(sum(scores)), max(scores, default=0.0) / 10, math.log1p(sum(best)), best[0] / 5 if best else 0.0, math.log1p(count), math.sqrt(count / max(len(words), 1))]
+            found = WORD.findall(clause) if hits else clause.strip()
+            count += bool(found)
+            if hits and not hits.isdisjoint(found):
+                scores.append(self.emit(found))
+        return scores, count
+
+    def features(self, text: str) -> list[float]:
+        """One, summed and largest clause scores, number and share of the clauses that match."""
+        scores, count = self.clauses(text)
+        matched = sum(x >= MATCH for x in scores)
+        return [1.0, math.log1p(sum(scores)), max(scores, default=0.0) / 10, math.log1p(matched), math.sqrt(matched / max(count, 1))]
 
 
 class Model:
@@ -153,7 +177,7 @@ def lexicon_of(rows: DataFrame, most: int = LEXICON) -> dict[str, float]:
     """Words and beginnings that tell toxic texts, with a cautious log odds ratio."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in light_batches(batches):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 words = set(WORD.findall((text or "").lower())) - CLASSES.keys()
@@ -180,7 +204,7 @@ def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(lexicon)
-        for batch in small_batches(batches):
+        for batch in light_batches(batches):
             made = [scorer.features(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(made, pa.list_(pa.float64()))], [*keep, "features"])
 
@@ -204,10 +228,19 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
     y = np.array([t > 0 for t, _ in taken], float)
     weights = np.zeros(FEATURES)
     if y.any() and not y.all():
-        for _ in range(30):  # Newton steps with a small ridge
-            p = 1 / (1 + np.exp(-x @ weights))
-            hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(FEATURES)
-            weights += np.linalg.solve(hessian, x.T @ (y - p) - 0.1 * weights)
+
+        def loss(w: np.ndarray) -> float:
+            return float((np.logaddexp(0, x @ w) - y * (x @ w)).sum() + RIDGE * (w @ w) / 2)
+
+        for _ in range(50):  # Newton steps, halved until they help
+            p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+            hessian = (x.T * (p * (1 - p))) @ x + RIDGE * np.eye(FEATURES)
+            step = np.linalg.solve(hessian, x.T @ (y - p) - RIDGE * weights)
+            while loss(weights + step) > loss(weights) and np.abs(step).max() > 1e-6:
+                step /= 2
+            weights += step
+            if np.abs(step).max() < 1e-6:
+                break
     else:
         weights[0] = -30.0
     return Model(lexicon_of(rows), weights.tolist())

@@ -1,11 +1,12 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 from llm_helpers import LONG, ODD, table
 from tokenizers import Tokenizer
 
+from gradewell.llm import packing
 from gradewell.llm.packing import best_fit, best_fit_packing, tokenise
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -50,6 +51,18 @@ def test_sequences_are_gapless_and_full(spark):
     assert len(filled) <= 1.05 * total / 256 + 2
 
 
+def test_repeated_rows_spread_over_tasks_and_keep_their_places(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_ROWS", 100)
+    docs = table(spark, [(None, "")] * 700 + [(i, f"one word {i}") for i in range(300)])
+    pieces = packing.pin(tokenise(docs, PATH, 64))
+    packed = packing.pack(pieces, 64)
+    rows = packed.collect()
+    tasks = Counter(r.sequence_id >> 40 for r in rows)
+    assert len(rows) == 1000 and len(tasks) == 10 and max(tasks.values()) < 160
+    again = packing.pack(pieces, 64).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+
+
 def test_fullest_bin_closes_first():
     bins, offsets = best_fit([60, 50, 70, 35, 30], 100, 2)
     # 70 finds two open bins with 40 and 50 free: the one with 40 closes.

@@ -5,7 +5,7 @@ import re
 import pytest
 from llm_helpers import ODD, table
 
-from gradewell.llm.private import KINDS, base_spans, find_private, luhn, mask_spans
+from gradewell.llm.private import KINDS, base_spans, find, find_private, luhn, mask_spans, near_key, sample
 from gradewell.llm.tables import row_id, text_key
 
 PATTERNS = {
@@ -57,6 +57,30 @@ def test_spans_keep_the_base_and_reach_bare_repeats(spark):
     assert got[2].spans == "" and got[3].n_email == 0
 
 
+def test_names_without_digits_and_similar_tokens_are_reached(spark):
+    text = "write jane.doe{0}@x.example.com; later jane.doe{0} signs, jane_doe{0} too; call +1 (555) 010-2{1}, or 5550102{1}, or 010 2{1}; the word jane stays"
+    rows = [(100 + i, text.format("abcdefghij"[i % 10] * (i // 10 + 1), 100 + i)) for i in range(40)]
+    found = {r.doc_id: r.spans.split(",") for r in find_private(table(spark, rows)).collect()}
+    hits = {"plain": 0, "similar": 0, "phone": 0}
+    for i, t in rows:
+        name = t[6 : t.index("@")]
+        bare, like = t.index(name, t.index("later")), t.index(name.replace(".", "_"))
+        hits["plain"] += f"email:{bare}:{bare + len(name)}" in found[i]
+        hits["similar"] += f"email:{like}:{like + len(name)}" in found[i]
+        digits = t.index(", or 555") + 5
+        hits["phone"] += f"phone:{digits}:{digits + 10}" in found[i]
+        assert not any(int(x.split(":")[1]) >= t.index("the word") for x in found[i])
+    assert hits["plain"] == len(rows) and hits["phone"] == len(rows), hits
+    assert near_key("5550102100") == near_key("150102100")[-7:] and near_key("@jane_doe") == near_key("@jane.doe4")
+
+
+def test_training_takes_units_from_all_of_a_text(spark):
+    far = "filler " * 4000 + TEXT
+    rows = sample(find(table(spark, [(1, TEXT * 60 + far)])), 40)
+    starts = [u["start"] for r in rows for u in r]
+    assert len(starts) == 40 and max(starts) > 50 * len(TEXT)
+
+
 def test_masks(spark):
     docs = table(spark, [(1, TEXT), (2, None), (3, "")])
     found = find_private(docs).join(docs.select("doc_id", row_id().alias("id"), text_key().alias("key")), "doc_id")
