@@ -44,8 +44,18 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The earliest document of each near-duplicate class."""
-    return minhash.classify(docs).where("stays").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The earliest document of each near-duplicate class, once also where its whole row repeats."""
+    kept = pin(minhash.classify(docs).where("stays").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    # Rows of a class share id and text only where they repeat: few keys, counted on narrow rows.
+    twice = pin(kept.groupBy(row_id().alias("__id"), text_key().alias("__key")).count().where("count > 1").drop("count"))
+    if twice.isEmpty():
+        return kept
+    # The row as one struct: its columns may have any names.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = kept.select(row_id().alias("__id"), text_key().alias("__key"), row)
+    once = rows.join(twice, ["__id", "__key"], "left_anti")
+    first = rows.join(twice, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"])
+    return once.unionByName(first).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
