@@ -17,13 +17,13 @@ There is one way for all sizes. Segments are as many as the session's shuffle pa
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradewell.operators.columns import quoted
-from gradewell.operators.filters import require
+from gradewell.operators.columns import all_present, quoted
 from gradewell.operators.groups import group_stats
 from gradewell.operators.joins import lookup_join
 from gradewell.operators.spread import Chain, counted_directory, tasks
@@ -46,8 +46,9 @@ def attach_pct_rank(
     """
     gate = quoted(min_size[0]) >= min_size[1] if min_size else F.lit(True)
     names = list(dict.fromkeys(measures.values()))
-    index = pin(order_index(df.where(gate), keys, names))
+    entries = [Entry(keys, m, all_present(keys)) for m in names]
     places = value_columns(df, names)
+    index = pin(order_index(long_values(df.where(gate), entries), group_columns(entries), value_names(df, entries)))
     wanted = df.withColumns({f"__m{i}": F.when(gate, quoted(m)) for i, m in enumerate(names)})
     chain = Chain(wanted, *[[*keys, f"__m{i}"] for i in range(len(names))])
     for i, m in enumerate(names):
@@ -63,6 +64,19 @@ def attach_pct_rank(
     return out.select(*[quoted(c) for c in dict.fromkeys([*df.columns, *measures])])
 
 
+@dataclass(frozen=True)
+class Ranking:
+    """Ranks ``{new column: measure}`` within ``keys``, in groups of ``min_size`` = (size column, least size)."""
+
+    keys: Sequence[str]
+    measures: Mapping[str, str]
+    min_size: tuple[str, int] | None = None
+
+    def gate(self) -> Column:
+        known = all_present(self.keys)
+        return known & (quoted(self.min_size[0]) >= self.min_size[1]) if self.min_size else known
+
+
 def rank_rows(
     df: DataFrame,
     row_key: str,
@@ -71,18 +85,28 @@ def rank_rows(
     rounded: bool = True,
     min_size: tuple[str, int] | None = None,
 ) -> DataFrame:
-    """Percent ranks of many measures at once: ``row_key`` and one column per rank.
+    """Percent ranks of many measures at once within one kind of group; see ``rank_groups``."""
+    return rank_groups(df, row_key, [Ranking(keys, measures, min_size)], rounded)
+
+
+def rank_groups(
+    df: DataFrame, row_key: str, rankings: Sequence[Ranking], rounded: bool = True
+) -> DataFrame:
+    """Percent ranks of many measures within several kinds of groups: ``row_key`` and one column per rank.
 
-    The rows are turned to (group, measure, value), so all measures share one
-    index and one join. Only ranked rows appear; join the result to ``df`` by the
-    key. Build several of these from one table rather than from each other's results.
+    The rows are turned to (group, measure, value), whatever the kind of group, so all
+    rankings share one pass, one index and one join. Only ranked rows appear; join the
+    result to ``df`` by the key. Build rankings from one table rather than from each
+    other's results.
     """
-    source = df.where(quoted(min_size[0]) >= min_size[1]) if min_size else df
-    names = list(measures.values())
-    index = pin(order_index(source, keys, names))
-    on = [*keys, "__measure", *dict.fromkeys(value_columns(source, names).values())]
+    entries = [Entry(r.keys, m, r.gate()) for r in rankings for m in r.measures.values()]
+    names = [new for r in rankings for new in r.measures]
+    long = long_values(df, entries, row_key)
+    group, values = group_columns(entries), value_names(df, entries)
+    index = pin(order_index(long, group, values))
+    on = [*group, *values]
     looked = lookup_join(
-        long_values(source, keys, names, row_key),
+        long,
         index.select(*[quoted(c) for c in on], percent().alias("__pct")),
         on,
         # Every value has its rank, so this equals an inner join; but only the ranks,
@@ -94,7 +118,7 @@ def rank_rows(
     # one row again before this shuffle.
     pct = F.bround("__pct", 0) if rounded else F.col("__pct")
     return looked.groupBy(row_key).agg(
-        *[F.max(F.when(F.col("__measure") == i, pct)).alias(new) for i, new in enumerate(measures)]
+        *[F.max(F.when(F.col("__measure") == i, pct)).alias(new) for i, new in enumerate(names)]
     )
 
 
@@ -111,7 +135,8 @@ def group_medians(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str
     """One row per group with the medians of all measures, picked by position from one index."""
     names = list(measures.values())
     places = value_columns(df, names)
-    index = order_index(df, keys, names)
+    entries = [Entry(keys, m, all_present(keys)) for m in names]
+    index = order_index(long_values(df, entries), group_columns(entries), value_names(df, entries))
 
     def at(place: Column, name: str) -> Column:
         inside = (place > F.col("__below")) & (place <= F.col("__below") + F.col("__n"))
@@ -192,26 +217,50 @@ def value_columns(df: DataFrame, measures: Sequence[str]) -> dict[str, str]:
     return {m: f"__v{types.index(df.schema[m].dataType)}" for m in measures}
 
 
-def long_values(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[str], *more: str
-) -> DataFrame:
-    """One row per known value: keys, measure number and value, the value in its type's column."""
+@dataclass(frozen=True)
+class Entry:
+    """A measure to index within ``keys``, for the rows that pass ``gate``."""
+
+    keys: Sequence[str]
+    measure: str
+    gate: Column
+
+
+def group_columns(entries: Sequence[Entry]) -> list[str]:
+    return [*dict.fromkeys(k for e in entries for k in e.keys), "__measure"]
+
+
+def value_names(df: DataFrame, entries: Sequence[Entry]) -> list[str]:
+    return list(dict.fromkeys(value_columns(df, [e.measure for e in entries]).values()))
+
+
+def filler(kind: T.DataType) -> Column:
+    return F.lit(FILLERS.get(type(kind), "0")).cast(kind)
+
+
+def long_values(df: DataFrame, entries: Sequence[Entry], *more: str) -> DataFrame:
+    """One row per known value: keys, the entry's number and the value, the value in its type's column.
+
+    Keys and values of other entries hold fillers, so that rows compare as wholes.
+    """
+    measures = [e.measure for e in entries]
     places = value_columns(df, measures)
     types = {places[m]: df.schema[m].dataType for m in measures}
+    keys = group_columns(entries)[:-1]
 
-    def entry(i: int, measure: str) -> Column:
+    def one(i: int, e: Entry) -> Column:
+        own = [
+            (quoted(k) if k in e.keys else filler(df.schema[k].dataType)).alias(k) for k in keys
+        ]
         values = [
-            quoted(measure).alias(place)
-            if place == places[measure]
-            else F.lit(FILLERS.get(type(kind), "0")).cast(kind).alias(place)
+            (quoted(e.measure) if place == places[e.measure] else filler(kind)).alias(place)
             for place, kind in types.items()
         ]
-        return F.struct(
-            F.lit(i).alias("__measure"), quoted(measure).isNotNull().alias("__known"), *values
-        )
+        known = (e.gate & quoted(e.measure).isNotNull()).alias("__known")
+        return F.struct(*own, F.lit(i).alias("__measure"), known, *values)
 
-    pairs = F.array(*[entry(i, m) for i, m in enumerate(measures)])
-    long = require(df, keys).select(*[quoted(k) for k in [*keys, *more]], F.inline(pairs))
+    listed = F.array(*[one(i, e) for i, e in enumerate(entries)])
+    long = df.select(*[quoted(k) for k in more], F.inline(listed))
     return long.where("__known").drop("__known")
 
 
@@ -221,19 +270,13 @@ def percent() -> Column:
     return mean_rank / F.col("__total") * F.lit(100.0)
 
 
-def order_index(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """The order-statistic index of the measures within ``keys``.
+def order_index(long: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The order-statistic index of ``long_values``.
 
-    Columns: keys, ``__measure`` (its number), the value columns, ``__n`` (rows with this
-    value), ``__below`` (rows of the group with a smaller one), ``__total`` (rows of the group).
+    Columns: the group's, the values', ``__n`` (rows with this value), ``__below`` (rows of
+    the group with a smaller one), ``__total`` (rows of the group).
     """
-    group = [*keys, "__measure"]
-    values = list(dict.fromkeys(value_columns(df, measures).values()))
-    counted = (
-        long_values(df, keys, measures)
-        .groupBy(*[quoted(c) for c in [*group, *values]])
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
+    counted = long.groupBy(*[quoted(c) for c in [*group, *values]]).agg(F.count(F.lit(1)).alias("__n"))
     names, order = [quoted(c) for c in group], [quoted(c) for c in values]
     segments = sorted_segments(counted, [*names, *order])
     piece = Window.partitionBy("__seg", *names)

@@ -101,10 +101,10 @@ def numbered(df: DataFrame) -> DataFrame:
 
 def salts_of(df: DataFrame, keys: Sequence[str], salts: dict[int, int], like: DataFrame | None = None) -> DataFrame:
     """``df`` with ``__salts``, the number of salts of its row's key, NULL for a key that is not hot."""
-    schema = T.StructType([T.StructField("__h", T.LongType()), T.StructField("__salts", T.IntegerType())])
+    schema = T.StructType([T.StructField("__key_hash", T.LongType()), T.StructField("__salts", T.IntegerType())])
     listed = df.sparkSession.createDataFrame(list(salts.items()), schema)
-    hashed = df.withColumn("__h", key_hash(keys, like))
-    return hashed.join(F.broadcast(listed), "__h", "left").drop("__h")
+    hashed = df.withColumn("__key_hash", key_hash(keys, like))
+    return hashed.join(F.broadcast(listed), "__key_hash", "left").drop("__key_hash")
 
 
 def salt_left(df: DataFrame, keys: Sequence[str], salts: dict[int, int], name: str) -> DataFrame:

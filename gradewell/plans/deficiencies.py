@@ -68,7 +68,7 @@ def surveyed_providers(survey: DataFrame, zip_county: DataFrame) -> DataFrame:
         "state",
         pad_code("zip", 5).alias("zip"),
     )
-    known = lookup_join(providers, zips, ["zip"], "inner")
+    known = lookup_join(pin(providers), zips, ["zip"], "inner")
     return first_per_group(known, ["PRVDR_NUM"], ["provider_name", "address", "state", "zip"])
 
 
@@ -94,6 +94,8 @@ def deficiency_rows(
     # The day is part of the key below, so days no window reaches can go before the joins.
     found = found.where(in_lookback("SRVY_DT", asof, max(CYCLE_MONTHS.values())))
     found = require(found, ["DFCNCY_TAG_NUM"]).drop("DFCNCY_PREX_CD")
+    # The latest findings of the window are a small part of both sources; what follows reads them only.
+    found = pin(found)
     found = lookup_join(found, surveyed_providers(survey, zip_county), ["PRVDR_NUM"], "inner")
     # The cycle is not part of this key: a tag cited in both cycles on one day
     # stays with the standard source.

@@ -34,9 +34,9 @@ def encounter_rollup(profile: DataFrame) -> DataFrame:
 
 
 def run_profile(spark: SparkSession, paths: Sequence[str]) -> dict[str, DataFrame]:
-    """Recognise the chosen files and profile the encounter table among them."""
+    """Recognise the chosen files and profile the encounter table; without one there is no profile."""
     tables = load_classified(spark, paths)
     if "ENCOUNTER" not in tables:
-        raise ValueError("no encounter table among the chosen files")
+        return {}
     profile = encounter_profile(lower_headers(tables["ENCOUNTER"]))
     return {"profile": profile, "rollup": encounter_rollup(profile)}

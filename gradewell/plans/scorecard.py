@@ -27,12 +27,12 @@ from gradewell.operators.filters import allow, require
 from gradewell.operators.groups import group_stats, share, total
 from gradewell.operators.joins import star_join
 from gradewell.operators.picks import dedup
-from gradewell.operators.ranks import rank_rows
+from gradewell.operators.ranks import Ranking, rank_groups, rank_rows
 from gradewell.plans.allegations import latest_allegations
 from gradewell.plans.certifications import latest_certifications
 from gradewell.plans.deficiencies import deficiency_rows, deficiency_summary
 from gradewell.plans.service_area import service_area, state_benchmark
-from gradewell.session import pin
+from gradewell.run import Run
 from gradewell.sources.sinks import write_by
 from gradewell.specs.measures import EMERGENCY as EMERGENCY_HEADER
 from gradewell.specs.measures import MEASURES
@@ -95,10 +95,9 @@ def provider_table(df: DataFrame) -> DataFrame:
     return named.withColumns({CCN: pad_code(CCN, 6), "city": title("city")})
 
 
-def joined_rows(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
-    """Service area with all provider tables joined to it."""
+def quality_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     quality = provider_table(tables["quality_measures"])
-    quality = quality.select(
+    return quality.select(
         CCN,
         "state",
         *SERVICES,
@@ -111,8 +110,11 @@ def joined_rows(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFra
         quoted(EMERGENCY_HEADER),
         *[m.name for m in MEASURES if m.name in quality.columns],
     )
+
+
+def survey_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     survey = provider_table(tables["patient_survey"])
-    survey = survey.select(
+    return survey.select(
         CCN,
         "state",
         *SERVICES,
@@ -122,15 +124,17 @@ def joined_rows(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFra
         "response_rate",
         *[to_number(m.name).alias(m.name) for m in MEASURES if m.name in survey.columns],
     )
-    deficiencies = deficiency_summary(
-        deficiency_rows(
-            tables["health_deficiencies"],
-            tables["complaint_surveys"],
-            tables["patient_survey"],
-            tables["zip_county"],
-            asof,
-        )
-    ).select(
+
+
+def deficiency_totals(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+    rows = deficiency_rows(
+        tables["health_deficiencies"],
+        tables["complaint_surveys"],
+        tables["patient_survey"],
+        tables["zip_county"],
+        asof,
+    )
+    return deficiency_summary(rows).select(
         F.col("PRVDR_NUM").alias(CCN),
         "state",
         "def_total",
@@ -141,17 +145,35 @@ def joined_rows(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFra
         *[r.column for r in RULES if r.flag.startswith("def_")],
         "def_comp_assess",
     )
-    allegations = latest_allegations(tables["complaint_details"], asof)
-    benchmark = state_benchmark(tables["facility_rates"], tables["facilities_monthly"])
+
+
+def joined_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+    """Service area with all provider tables joined to it, each a base of the run."""
+
+    def by_id(df: DataFrame) -> DataFrame:
+        return rename(df, {"PRVDR_NUM": CCN})
+
+    area = run.base("service_area", lambda: service_area(tables["provider_zips"], tables["zip_county"]))
+    certified = run.base("certifications", lambda: by_id(latest_certifications(tables["certifications"])))
+    benchmark = run.base(
+        "state_benchmark",
+        lambda: state_benchmark(tables["facility_rates"], tables["facilities_monthly"]),
+    )
+    quality = run.base("quality", lambda: quality_rows(tables))
+    survey = run.base("survey", lambda: survey_rows(tables))
+    deficiencies = run.base("deficiencies", lambda: deficiency_totals(tables, asof))
+    allegations = run.base(
+        "allegations", lambda: by_id(latest_allegations(tables["complaint_details"], asof))
+    )
     return star_join(
-        service_area(tables["provider_zips"], tables["zip_county"]),
+        area,
         [
-            (rename(latest_certifications(tables["certifications"]), {"PRVDR_NUM": CCN}), [CCN]),
+            (certified, [CCN]),
             (benchmark.withColumn("state", F.col("STATE_ABBREV")), ["state"]),
             (quality, [CCN, "state"]),
             (survey, [CCN, "state", *SERVICES]),
             (deficiencies, [CCN, "state"]),
-            (rename(allegations, {"PRVDR_NUM": CCN}), [CCN]),
+            (allegations, [CCN]),
         ],
     )
 
@@ -238,7 +260,7 @@ def county_stats(graded: DataFrame) -> DataFrame:
     )
 
 
-def grade_rows(scored: DataFrame) -> DataFrame:
+def grade_rows(run: Run, scored: DataFrame) -> DataFrame:
     """Ranks and letters by ``row_id``, on the columns they need instead of the whole rows.
 
     State ranks use all rows and county ranks those of counties with at least 40
@@ -248,19 +270,22 @@ def grade_rows(scored: DataFrame) -> DataFrame:
     flags = [*SHARES.values(), *SURVEY_FLAGS, *[spec.small_flag for spec in OUTCOMES.values()]]
     scores = [c for o in OUTCOMES for c in (f"pred_{o}_diff", f"oe_{o}_estimate")]
     first = ["CRTFCTN_DT", "provider_name", "address", "zip_code"]
-    kept = select_cols(scored, ["state", "County_ID", CCN, *first, *flags, *scores, "row_id"])
+    kept_columns = select_cols(
+        scored, ["state", "County_ID", CCN, *first, *flags, *scores, "row_id"]
+    )
     # The row number only parts rows that are equal in all that is kept of them.
     order = [*first, *dict.fromkeys([*flags, *scores]), "row_id"]
-    kept = pin(dedup(kept, ["County_ID", CCN], order).drop(CCN, *first))
-    ranks = [
-        rank_rows(scored, "row_id", ["state"], {m.state_rank: m.name for m in MEASURES}),
-        rank_rows(
-            scored,
-            "row_id",
-            ["County_ID"],
-            {m.county_rank: m.name for m in MEASURES},
-            min_size=("County_count", MIN_COUNTY),
+    kept = run.base(
+        "kept", lambda: dedup(kept_columns, ["County_ID", CCN], order).drop(CCN, *first)
+    )
+    by_group = [
+        Ranking(["state"], {m.state_rank: m.name for m in MEASURES}),
+        Ranking(
+            ["County_ID"], {m.county_rank: m.name for m in MEASURES}, ("County_count", MIN_COUNTY)
         ),
+    ]
+    ranks = [
+        rank_groups(scored, "row_id", by_group),
         rank_rows(
             kept,
             "row_id",
@@ -279,47 +304,56 @@ def grade_rows(scored: DataFrame) -> DataFrame:
     return derive(graded, letters)
 
 
-def letter_mean(
-    df: DataFrame, letter: str, value: str, name: str, source: DataFrame | None = None
-) -> DataFrame:
-    """National mean of ``value`` per letter on every row.
-
-    Letters are a closed set of six, so their means can always be broadcast.
-    """
-    means = group_stats(df if source is None else source, [letter], {name: F.avg(value)})
-    return df.join(F.broadcast(means), letter, "left")
-
+def letter_means(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """One row: for each ``{name: (letter, value)}`` a map of the value's mean by letter.
 
-def letter_means(graded: DataFrame) -> dict[tuple[str, str], float]:
-    """Mean estimate per outcome and letter.
-
-    Nine outcomes and six letters make at most 54 numbers, so these come to the
-    driver and go back into the plan as constants instead of nine joins.
+    One grouped mean over (number of the pair, letter), with at most six letters each.
     """
-    pairs = F.array(
+    listed = F.array(
         *[
             F.struct(
-                F.lit(o).alias("outcome"),
-                F.col(spec.letter).alias("letter"),
-                F.col(f"oe_{o}_estimate").alias("estimate"),
+                F.lit(i).alias("pair"),
+                F.col(letter).alias("letter"),
+                F.col(value).cast("double").alias("value"),
             )
-            for o, spec in OUTCOMES.items()
+            for i, (letter, value) in enumerate(pairs.values())
+        ]
+    )
+    long = df.select(F.inline(listed)).where(F.col("letter").isin(*scoring.ALL_LETTERS))
+    means = group_stats(long, ["pair", "letter"], {"mean": F.avg("value")})
+    entry = F.struct("letter", "mean")
+    return means.agg(
+        *[
+            F.map_from_entries(F.collect_list(F.when(F.col("pair") == i, entry))).alias(name)
+            for i, name in enumerate(pairs)
         ]
     )
-    long = graded.select(F.inline(pairs))
-    means = group_stats(long, ["outcome", "letter"], {"mean": F.avg("estimate")})
-    return {(r["outcome"], r["letter"]): r["mean"] for r in means.collect()}
 
 
-def add_rates(df: DataFrame, means: Mapping[tuple[str, str], float]) -> DataFrame:
+def attach_letter_means(
+    df: DataFrame, pairs: Mapping[str, tuple[str, str]], source: DataFrame | None = None
+) -> DataFrame:
+    """Every row with the national mean of its letter, for each pair.
+
+    The means are a scalar subquery: one row of small maps, and no join.
+    """
+    means = letter_means(df if source is None else source, pairs)
+    row = means.select(F.struct(*pairs)).scalar()
+    found = {
+        name: F.try_element_at(F.col("__means")[name], F.col(letter))
+        for name, (letter, _) in pairs.items()
+    }
+    return df.withColumn("__means", row).withColumns(found).drop("__means")
+
+
+def add_rates(df: DataFrame, graded: DataFrame) -> DataFrame:
     """Expected rates: letter mean and state median times the base rate."""
+    pairs = {f"__mean_{o}": (spec.letter, f"oe_{o}_estimate") for o, spec in OUTCOMES.items()}
     rates = {}
     for o, spec in OUTCOMES.items():
-        mine = {letter: mean for (outcome, letter), mean in means.items() if outcome == o}
-        mean = decode(spec.letter, mine, None)
-        rates[f"{spec.rates}_comp_rate"] = mean * F.lit(spec.letter_base)
+        rates[f"{spec.rates}_comp_rate"] = F.col(f"__mean_{o}") * F.lit(spec.letter_base)
         rates[f"{spec.rates}_state_rate"] = F.col(f"oe_{o}_state_median") * F.lit(spec.state_base)
-    return derive(df, rates)
+    return derive(attach_letter_means(df, pairs, graded), rates).drop(*pairs)
 
 
 def add_published_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
@@ -372,32 +406,40 @@ def needed_columns() -> list[str]:
     ]
 
 
-def score_rows(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
-    """Joined, flagged and scored rows, pinned with a row number.
+def score_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+    """Joined, flagged and scored rows, a base of the run with a row number.
 
     The number is only written down once, so it means the same row to all readers.
     """
-    scored = add_scores(add_flags(joined_rows(tables, asof)))
-    scored = scored.withColumn("row_id", F.monotonically_increasing_id())
-    kept = [c for c in dict.fromkeys(needed_columns()) if c in scored.columns]
-    return pin(select_cols(scored, kept))
+
+    def build() -> DataFrame:
+        scored = add_scores(add_flags(joined_rows(run, tables, asof)))
+        scored = scored.withColumn("row_id", F.monotonically_increasing_id())
+        kept = [c for c in dict.fromkeys(needed_columns()) if c in scored.columns]
+        return select_cols(scored, kept)
+
+    return run.base("scored", build)
 
 
-def full_table(tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+def full_table(
+    tables: Mapping[str, DataFrame], asof: dt.date | str, run: Run | None = None
+) -> DataFrame:
     """Every stored column of the scorecard.
 
-    The scored rows and their grades are pinned. Statistics and rates
-    join the grades, which are a third as wide; the scored rows are joined once.
+    The provider tables, the scored rows and their grades are bases of the run.
+    Statistics and rates join the grades, which are a third as wide; the scored rows
+    are joined once. Without a run of the caller's the bases stay in the shared folder.
     """
-    scored = score_rows(tables, asof)
-    graded = pin(grade_rows(scored))
+    run = run or Run(next(iter(tables.values())).sparkSession)
+    scored = score_rows(run, tables, asof)
+    graded = run.base("graded", lambda: grade_rows(run, scored))
     ranks = [c for m in MEASURES for c in (m.state_rank, m.county_rank)]
     letters = [spec.letter for spec in OUTCOMES.values()]
     grades = select_cols(graded, ["row_id", "state", "County_ID", *ranks, *letters])
-    grades = star_join(
-        grades, [(state_stats(scored), ["state"]), (county_stats(graded), ["County_ID"])]
-    )
-    grades = add_rates(grades, letter_means(graded)).drop("state", "County_ID")
+    states = run.base("state_stats", lambda: state_stats(scored))
+    counties = run.base("county_stats", lambda: county_stats(graded))
+    grades = star_join(grades, [(states, ["state"]), (counties, ["County_ID"])])
+    grades = add_rates(grades, graded).drop("state", "County_ID")
     rows = scale(scored, [m.name for m in MEASURES], 100).join(grades, "row_id")
     return add_published_text(rows, asof)
 
@@ -415,10 +457,10 @@ def network(full: DataFrame) -> DataFrame:
     return published(full, NETWORK_COLUMNS)
 
 
-def publish(full: DataFrame, folder: str) -> None:
+def publish(run: Run, full: DataFrame, folder: str) -> None:
     """Both extracts, one folder of sorted CSV files per published state."""
-    columns = [*SCORECARD_COLUMNS, *NETWORK_COLUMNS]
-    rows = pin(allow(published(full, list(dict.fromkeys(columns))), "state", STATES))
+    columns = list(dict.fromkeys([*SCORECARD_COLUMNS, *NETWORK_COLUMNS]))
+    rows = run.base("published", lambda: allow(published(full, columns), "state", STATES))
     write_by(
         select_cols(rows, SCORECARD_COLUMNS),
         "state",
@@ -429,3 +471,9 @@ def publish(full: DataFrame, folder: str) -> None:
     write_by(
         select_cols(rows, NETWORK_COLUMNS), "state", STATES, f"{folder}/network", ["county", "provider_name", "CMS_ID"]
     )
+
+
+def run_scorecard(tables: Mapping[str, DataFrame], asof: dt.date | str, folder: str) -> None:
+    """Scorecard and network extract of one run, whose bases go at its end."""
+    with Run(next(iter(tables.values())).sparkSession) as run:
+        publish(run, full_table(tables, asof, run), folder)

@@ -11,6 +11,7 @@ from gradewell.operators.filters import distinct_keys, require
 from gradewell.operators.groups import attach, group_mean
 from gradewell.operators.joins import lookup_join
 from gradewell.operators.picks import last_per_group
+from gradewell.session import pin
 
 
 def service_area(provider_zips: DataFrame, zip_county: DataFrame) -> DataFrame:
@@ -23,17 +24,17 @@ def service_area(provider_zips: DataFrame, zip_county: DataFrame) -> DataFrame:
         pad_code("cms_certification_number_ccn", 6).alias("cms_certification_number_ccn"),
         pad_code("zip_code", 5).alias("zip_code"),
     )
-    both = lookup_join(require(served, ["zip_code"]), counties, ["zip_code"], "inner")
+    both = lookup_join(pin(require(served, ["zip_code"])), counties, ["zip_code"], "inner")
     both = both.withColumn("County_ID", compound_key("state", "county"))
     one = last_per_group(both, ["County_ID", "cms_certification_number_ccn"], ["zip_code"])
-    return attach(one, ["County_ID"], {"County_count": F.count("cms_certification_number_ccn")})
+    return attach(pin(one), ["County_ID"], {"County_count": F.count("cms_certification_number_ccn")})
 
 
 def state_benchmark(rates: DataFrame, facilities: DataFrame) -> DataFrame:
     """Mean adjusted facility rate per state, each facility at its latest survey."""
     newest = last_per_group(decode_binary(facilities), ["PROV_NUM"], ["Survey_date", "STATE_ABBREV"])
     placed = lookup_join(
-        decode_binary(rates).select("CCN", "rate_adj"),
+        pin(decode_binary(rates).select("CCN", "rate_adj")),
         newest.select(F.col("PROV_NUM").alias("CCN"), "Survey_date", "STATE_ABBREV"),
         ["CCN"],
         "left",

@@ -48,6 +48,50 @@ def route(tables: Mapping[str, DataFrame], snapshot: str) -> dict[str, DataFrame
     return {n.removesuffix(tail): df for n, df in tables.items() if n.endswith(tail)}
 
 
+def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per file under ``folder`` that belongs to a table snapshot, from the listing alone.
+
+    ``<name>_<snapshot>.csv`` or ``.parquet``, a file or a folder of files, gives columns
+    ``name``, ``snapshot`` (the part after the last underscore), ``kind``, ``place`` (what to
+    scan), ``path``, ``time`` and ``bytes``. Other files are left out. No file is opened, so
+    the manifest can choose what a job reads.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    path, shape = F.col("path"), r"^(.*/([^/]+)_([^/_]+)\.(csv|parquet))(/[^/]+)?$"
+    return files.where(path.rlike(shape)).select(
+        F.regexp_extract(path, shape, 2).alias("name"),
+        F.regexp_extract(path, shape, 3).alias("snapshot"),
+        F.regexp_extract(path, shape, 4).alias("kind"),
+        F.regexp_extract(path, shape, 1).alias("place"),
+        "path",
+        F.col("modificationTime").alias("time"),
+        F.col("length").alias("bytes"),
+    )
+
+
+def chosen_places(manifest: DataFrame, snapshot: str | None = None) -> DataFrame:
+    """One row per table: the place of the given snapshot, or of its newest one by name."""
+    wanted = manifest if snapshot is None else manifest.where(F.col("snapshot") == snapshot)
+    last = F.max_by(F.struct("snapshot", "place"), "snapshot").alias("last")
+    return wanted.groupBy("name").agg(last).select("name", "last.snapshot", "last.place")
+
+
+def read_snapshot(
+    spark: SparkSession,
+    folder: str,
+    snapshot: str | None = None,
+    schemas: Mapping[str, T.StructType] | None = None,
+) -> dict[str, DataFrame]:
+    """Every table of ``folder`` under its plain name, as of one snapshot or each at its newest.
+
+    The manifest is cut to one row per table before it comes to the driver, and only
+    the chosen files are ever scanned.
+    """
+    schemas = schemas or {}
+    chosen = chosen_places(file_manifest(spark, folder), snapshot).collect()
+    return {r["name"]: scan(spark, r["place"], schemas.get(r["name"])) for r in chosen}
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Lazy scan of a .csv or .parquet path."""
     extension = path.rstrip("/").rsplit(".", 1)[-1].lower()

@@ -41,6 +41,28 @@ def link_catalog(spark, folder):
     return pages.link_catalog(load(spark, folder, "pages"))
 
 
+MARKED = r"""SELECT page_id, regexp_replace(CASE WHEN page_id % 3 <> 0 THEN replace(html, '<h1>', '<h1 id="title">') ELSE html END,
+    '<a href="(/[^"]{1,4})"', '<a class="exec ga-track" href="\1"', 'g') AS html FROM pages"""
+
+
+@register(
+    QUERIES,
+    SQL,
+    rf"""WITH found AS (SELECT page_id, {VISIBLE} AS visible FROM ({MARKED})),
+        parts AS (SELECT page_id, visible, regexp_extract_all(visible, '<a class="exec ga-track" href="([^"]*)"', 1) AS links,
+                         regexp_extract(visible, '(?is)<h1 id="title">(.*?)</h1>', 1) AS heading FROM found)
+        SELECT page_id, CASE WHEN contains(visible, '<h1 id="title">')
+                             THEN {CLEAN.format("regexp_replace(heading, '<[^>]*>', '', 'g')")} END AS "Name",
+               replace({CLEAN.format('links[1]')}, 'json', 'csv') AS "Link" FROM parts""",
+)
+def link_catalog_by_class(spark, folder):
+    """Headings with a given id and first links of a given class, on pages marked with both."""
+    html = F.when(F.col("page_id") % 3 != 0, F.replace("html", F.lit("<h1>"), F.lit('<h1 id="title">'))).otherwise(F.col("html"))
+    marked = F.regexp_replace(html, r'<a href="(/[^"]{1,4})"', '<a class="exec ga-track" href="$1"')
+    raw = load(spark, folder, "pages").select("page_id", marked.alias("html"))
+    return pages.link_catalog(raw, link_class="ga-track", title_id="title")
+
+
 @register(
     QUERIES,
     SQL,

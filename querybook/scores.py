@@ -7,7 +7,7 @@ from gradewell.functions.dates import gap_days
 from gradewell.operators import groups, joins, ranks
 from gradewell.plans.allegations import finding_weight
 from gradewell.plans.certifications import per_year, survey_gap
-from gradewell.plans.scorecard import letter_mean as mean_of_letter
+from gradewell.plans.scorecard import attach_letter_means
 from gradewell.specs.models import OUTCOMES
 from gradewell.specs.rules import SMALL_LIMITS
 from pyspark.sql import functions as F
@@ -168,7 +168,7 @@ def clamp_letter(spark, folder):
     QUERIES, SQL, f"SELECT c_custkey, clamped, round(mean_bal, 4) AS mean_bal FROM ({MEAN_SQL})"
 )
 def letter_mean(spark, folder):
-    out = mean_of_letter(lettered(spark, folder), "clamped", "c_acctbal", "mean_bal")
+    out = attach_letter_means(lettered(spark, folder), {"mean_bal": ("clamped", "c_acctbal")})
     return out.select("c_custkey", "clamped", F.round("mean_bal", 4).alias("mean_bal"))
 
 
@@ -176,7 +176,7 @@ def letter_mean(spark, folder):
     QUERIES, SQL, f"SELECT c_custkey, round(mean_bal * 0.147237, 4) AS rate FROM ({MEAN_SQL})"
 )
 def scaled_rate(spark, folder):
-    out = mean_of_letter(lettered(spark, folder), "clamped", "c_acctbal", "mean_bal")
+    out = attach_letter_means(lettered(spark, folder), {"mean_bal": ("clamped", "c_acctbal")})
     base = OUTCOMES["all"].letter_base
     return out.select("c_custkey", F.round(F.col("mean_bal") * F.lit(base), 4).alias("rate"))
 

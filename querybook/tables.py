@@ -271,3 +271,61 @@ def fill_defaults(spark, folder):
 def split_explode(spark, folder):
     table = load(spark, folder, "part").select("p_partkey", "p_name")
     return columns.split_explode(table, "p_name", " ", keep=True)
+
+
+def write_snapshots(spark, folder):
+    """Orders by year and customers by half, as two tables of several snapshots."""
+    place = scratch_path(spark, "snapshots")
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    years = [r["year"] for r in orders.select("year").distinct().collect()]
+    for year in years:
+        orders.where(F.col("year") == year).write.parquet(f"{place}/orders_{year}.parquet")
+    customer = load(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    for half in (0, 1):
+        part = customer.where(F.col("c_custkey") % 2 == half)
+        part.write.option("header", True).csv(f"{place}/customer_h{half}.csv")
+    spark.range(3).write.parquet(f"{place}/unrelated.parquet")
+    return place
+
+
+@register(
+    QUERIES,
+    SQL,
+    """SELECT 'orders' AS name, CAST(year(o_orderdate) AS VARCHAR) AS snapshot, 'parquet' AS kind,
+              count(*) AS n_rows, year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) AS newest
+       FROM orders GROUP BY year(o_orderdate)
+       UNION ALL
+       SELECT 'customer', 'h' || CAST(c_custkey % 2 AS VARCHAR), 'csv', count(*), c_custkey % 2 = 1
+       FROM customer GROUP BY c_custkey % 2""",
+)
+def snapshot_manifest(spark, folder):
+    """Rows of every snapshot, the manifest joined to the rows by their files."""
+    place = write_snapshots(spark, folder)
+    manifest = sources.file_manifest(spark, place)
+    newest = sources.chosen_places(manifest).select("name", F.col("snapshot").alias("last"))
+    per_file = []
+    for kind, reader in (("parquet", spark.read), ("csv", spark.read.option("header", True))):
+        rows = reader.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}")
+        data = rows.format(kind).load(place).select(F.col("_metadata.file_path").alias("path"))
+        per_file.append(data.groupBy("path").agg(F.count(F.lit(1)).alias("n")))
+    counted = manifest.join(per_file[0].unionByName(per_file[1]), "path")
+    sizes = counted.groupBy("name", "snapshot", "kind").agg(F.sum("n").alias("n_rows"))
+    return sizes.join(newest, "name").select(
+        "name", "snapshot", "kind", "n_rows", (F.col("snapshot") == F.col("last")).alias("newest")
+    )
+
+
+@register(
+    QUERIES,
+    SQL,
+    """SELECT o_orderkey, o_custkey, c_nationkey FROM orders
+       JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 1) ON o_custkey = c_custkey
+       WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""",
+)
+def routed_snapshot(spark, folder):
+    """Both tables at their newest snapshot; no other file is read."""
+    schemas = {"customer": T.StructType.fromDDL("c_custkey long, c_nationkey int")}
+    tables = sources.read_snapshot(spark, write_snapshots(spark, folder), schemas=schemas)
+    orders, customer = tables["orders"], tables["customer"]
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.select("o_orderkey", "o_custkey", "c_nationkey")

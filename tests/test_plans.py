@@ -1,27 +1,21 @@
 """The physical plans that matter at scale."""
 
-import io
-from contextlib import redirect_stdout
 from pathlib import Path
 
 import pytest
 
 import querybook
 from gradewell.operators import groups, joins, picks, ranks, spread
+from gradewell.plans import deficiencies, scorecard, service_area
 from gradewell.session import shared_folder
 from limits import limits
 from pyspark.sql import functions as F
+from querybook.inputs import ASOF, derived_tables
+from scans import counted_scans, plan
 
 QUERIES = querybook.queries()
 
 
-def plan(df) -> str:
-    out = io.StringIO()
-    with redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()
-
-
 @pytest.fixture(scope="module")
 def orders(spark, folder):
     return spark.read.parquet(f"{folder}/orders.parquet")
@@ -123,6 +117,41 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     assert "c_acctbal" not in text
 
 
+@pytest.fixture(scope="module")
+def sources(spark, folder, tmp_path_factory):
+    """The jobs' input tables, each in a file of its own."""
+    place = tmp_path_factory.mktemp("sources")
+    out = {}
+    for name, df in derived_tables(spark, folder).items():
+        df.write.parquet(str(place / f"{name}.parquet"))
+        out[name] = spark.read.parquet(str(place / f"{name}.parquet"))
+    return out
+
+
+def test_the_scorecard_reads_each_source_at_most_twice(spark, sources):
+    with counted_scans() as (scans, actions):
+        full = scorecard.full_table(sources, ASOF)
+        full.collect()
+    read = {name: scans[f"{name}.parquet"] for name in sources}
+    assert max(read.values()) <= 2 and min(read.values()) >= 1, read
+    assert sum(actions.values()) < 50, actions
+
+
+def test_the_deficiency_and_area_jobs_read_each_source_at_most_twice(spark, sources):
+    jobs = {
+        "findings": lambda: deficiencies.deficiency_rows(
+            sources["health_deficiencies"], sources["complaint_surveys"], sources["patient_survey"], sources["zip_county"], ASOF
+        ),
+        "area": lambda: service_area.service_area(sources["provider_zips"], sources["zip_county"]),
+        "benchmark": lambda: service_area.state_benchmark(sources["facility_rates"], sources["facilities_monthly"]),
+    }
+    for name, job in jobs.items():
+        with counted_scans() as (scans, _):
+            job().collect()
+        read = {table: scans[f"{table}.parquet"] for table in sources if scans[f"{table}.parquet"]}
+        assert read and max(read.values()) <= 2, (name, read)
+
+
 CHEAP = sorted(set(QUERIES) - {"scorecard_table", "network_table"})
 
 

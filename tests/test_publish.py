@@ -2,7 +2,10 @@
 
 import os
 
+import pytest
 from gradewell.plans import date_ranges, deficiencies, scorecard
+from gradewell.run import Run
+from gradewell.session import shared_folder
 from gradewell.sources.tables import read_csv
 from gradewell.specs.publish import NETWORK_COLUMNS, SCORECARD_COLUMNS, STATES
 from querybook.inputs import ASOF, derived, derived_tables
@@ -14,9 +17,17 @@ def folders(path):
 
 
 def test_scorecard_extracts(spark, folder, tmp_path):
-    full = scorecard.full_table(derived_tables(spark, folder), ASOF)
+    tables = derived_tables(spark, folder)
+    before = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+    kept = Run(spark)
+    full = scorecard.full_table(tables, ASOF, kept)
     wanted = full.where(full.state.isin(*STATES)).count()
-    scorecard.publish(full, str(tmp_path))
+    assert {"scored", "graded", "quality", "survey"} <= set(kept.names)
+    scorecard.publish(kept, full, str(tmp_path))
+    kept.close()
+    # One run made both extracts, and nothing of it is left.
+    assert {r.namespace for r in spark.sql("SHOW DATABASES").collect()} == before
+    assert not os.path.exists(f"{shared_folder(spark).removeprefix('file:')}/{kept.database}")
     for name, columns in (("scorecard", SCORECARD_COLUMNS), ("network", NETWORK_COLUMNS)):
         place = str(tmp_path / name)
         assert folders(place) == set(STATES)
@@ -26,6 +37,20 @@ def test_scorecard_extracts(spark, folder, tmp_path):
     assert back.where("CMS_ID NOT LIKE \"'%\"").count() == 0
 
 
+def test_a_run_makes_each_base_once_and_removes_all_after_an_error(spark):
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.range(5)
+
+    with pytest.raises(ZeroDivisionError), Run(spark) as run:
+        assert run.base("five", build).count() == run.base("five", build).count() == 5
+        raise ZeroDivisionError
+    assert made == [1]
+    assert run.database not in {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+
+
 def test_finding_and_date_range_exports(spark, folder, tmp_path):
     rows = finding_rows(spark, folder)
     deficiencies.export_rows(rows, str(tmp_path / "findings"))
