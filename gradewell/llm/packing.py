@@ -14,6 +14,7 @@ closed the fullest goes.
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from gradewell.llm.tables import pin
 from gradewell.llm.text import light_batches
 
 CAPACITY, END, OPEN, TASK_SEQUENCES, TASK_ROWS = 4096, 1, 1024, 4000, 500_000
-CACHE = 250_000
+CACHE = 500_000
 _encoders: dict[str, Encoder] = {}
 # The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the rest follow from 256.
 _printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -34,6 +35,20 @@ _rest = iter(range(256, 512))
 BYTE_LETTERS = [chr(b) if b in _printable else chr(next(_rest)) for b in range(256)]
 
 
+SIGNS = string.punctuation.encode()
+
+
+def unit_of(word: bytes) -> str:
+    """A word of letters, in lower case, as the one unit the merges take it as; else empty."""
+    if word.isalpha():
+        return word.decode()
+    text = word.decode()
+    # Letters below U+0130 have no case or composition rules beyond their own.
+    if text.isalpha() and max(text) < "\u0130":
+        return "".join(map(BYTE_LETTERS.__getitem__, text.lower().encode()))
+    return ""
+
+
 class Encoder:
     """Ids of byte words (lower-case ASCII letters) as little-endian 32-bit runs, cached."""
 
@@ -48,29 +63,36 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, words: set[bytes]) -> None:
-        """Add the ids of new words. A sign after a letter is a token of its own."""
+        """Add the ids of new words. Signs that end a word of letters are split from it, as the tokenizer does."""
         new = words - self.known.keys()
         if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = words
-        signed = {w for w in new if w[-1] in b".," and len(w) > 1 and 97 <= w[-2] <= 122}
-        plain = ((new - signed) | {w[:-1] for w in signed} | {b".", b","}) - self.known.keys()
-        others: list[bytes] = []
+            # Words of this batch stay: among them are the frequent ones, which would be encoded again at once.
+            self.known = {w: self.known[w] for w in words & self.known.keys()}
+        units: dict[bytes, str] = {}
+        signed: dict[bytes, tuple[bytes, bytes]] = {}
+        others: set[bytes] = set()
+        for w in new:
+            stem = w if w.isalpha() else w.rstrip(SIGNS)
+            if stem not in units:
+                unit = unit_of(stem)
+                if not unit:
+                    others.add(w)
+                    continue
+                if stem not in self.known:
+                    units[stem] = unit
+            if len(stem) < len(w):
+                signed[w] = (stem, w[len(stem) :])
+        others |= {signs for _, signs in signed.values()} - self.known.keys()
         merge = self.tokenizer.model.tokenize
-        for w in plain:
-            text = w.decode()
-            # Letters below U+0130 have no case or composition rules beyond their own: one unit of the merges.
-            if text.isalpha() and max(text) < "\u0130":
-                unit = text if text.isascii() else "".join(map(BYTE_LETTERS.__getitem__, text.lower().encode()))
-                self.known[w] = b"".join([t.id.to_bytes(4, "little") for t in merge(unit)])
-            else:
-                others.append(w)
-        for a in range(0, len(others), 10_000):
-            part = others[a : a + 10_000]
+        for w, unit in units.items():
+            self.known[w] = b"".join([t.id.to_bytes(4, "little") for t in merge(unit)])
+        rest = list(others)
+        for a in range(0, len(rest), 10_000):
+            part = rest[a : a + 10_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
-        for w in signed:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
+        for w, (stem, signs) in signed.items():
+            self.known[w] = self.known[stem] + self.known[signs]
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [t.lower().split() for t in texts]

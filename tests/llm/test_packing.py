@@ -35,6 +35,34 @@ def test_pieces_are_the_tokenizers_ids(spark):
             assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
 
 
+def test_signs_after_letters_reach_the_tokenizer_only_as_runs(monkeypatch):
+    encoder = packing.Encoder(PATH)
+    texts = ["fox fox, fox.*** übel### éa', x€!! 3,4. don't.' e\u0301!! !!! a.b. fox's Σ.", "fox### übel, ($$$ Fox$$$ €"]
+    sent = []
+
+    class Counted:
+        model = encoder.tokenizer.model
+
+        def encode_batch_fast(self, words, **options):
+            sent.extend(words)
+            return inner.encode_batch_fast(words, **options)
+
+    inner, encoder.tokenizer = encoder.tokenizer, Counted()
+    got = [list(np.frombuffer(b, "<u4")) for b in encoder.ids([t.encode() for t in texts])]
+    assert got == [ids_of(t)[:-1] for t in texts]
+    assert not {w for w in sent if w[0] in "fü" and not w.isalpha() and "'s" not in w}
+
+
+def test_a_full_cache_keeps_the_words_of_the_batch(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 6)
+    encoder = packing.Encoder(PATH)
+    texts = ["the cat sat on", "the cat had one two.", "the end of it all, the cat!"]
+    for t in texts:
+        assert [list(np.frombuffer(b, "<u4")) for b in encoder.ids([t.encode()])] == [ids_of(t)[:-1]]
+        assert b"the" in encoder.known
+    assert b"sat" not in encoder.known
+
+
 def test_sequences_are_gapless_and_full(spark):
     rows = [(i, " ".join(f"word{j}" for j in range(i % 37 + 1))) for i in range(400)]
     filled = defaultdict(list)
