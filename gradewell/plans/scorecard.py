@@ -25,7 +25,7 @@ from gradewell.operators.columns import (
 )
 from gradewell.operators.filters import allow, require
 from gradewell.operators.groups import group_stats, share, total
-from gradewell.operators.joins import star_join
+from gradewell.operators.joins import lookup_join, star_join
 from gradewell.operators.picks import dedup
 from gradewell.operators.ranks import Ranking, rank_groups, rank_rows
 from gradewell.plans.allegations import latest_allegations
@@ -147,13 +147,27 @@ def deficiency_totals(tables: Mapping[str, DataFrame], asof: dt.date | str) -> D
     )
 
 
+def provider_key() -> Column:
+    """Provider and state as one value that also joins where a part is missing."""
+    return F.struct(CCN, "state")
+
+
+def service_rows(run: Run, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The service area, a base of the run: one row per county and provider."""
+    return run.base("service_area", lambda: service_area(tables["provider_zips"], tables["zip_county"]))
+
+
 def joined_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
-    """Service area with all provider tables joined to it, each a base of the run."""
+    """Each provider and state of the service area with all provider tables joined, each a base of the run.
+
+    The tables' keys are the provider and the state, so the counties of a provider, of
+    which there may be many, need not be told apart here.
+    """
 
     def by_id(df: DataFrame) -> DataFrame:
         return rename(df, {"PRVDR_NUM": CCN})
 
-    area = run.base("service_area", lambda: service_area(tables["provider_zips"], tables["zip_county"]))
+    area = service_rows(run, tables)
     certified = run.base("certifications", lambda: by_id(latest_certifications(tables["certifications"])))
     benchmark = run.base(
         "state_benchmark",
@@ -165,8 +179,9 @@ def joined_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str)
     allegations = run.base(
         "allegations", lambda: by_id(latest_allegations(tables["complaint_details"], asof))
     )
+    providers = run.base("providers", lambda: area.select(CCN, "state").distinct())
     return star_join(
-        area,
+        providers,
         [
             (certified, [CCN]),
             (benchmark.withColumn("state", F.col("STATE_ABBREV")), ["state"]),
@@ -409,11 +424,18 @@ def needed_columns() -> list[str]:
 def score_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
     """Joined, flagged and scored rows, a base of the run with a row number.
 
+    Flags and scores are made once per provider and state and then joined to its counties.
     The number is only written down once, so it means the same row to all readers.
     """
 
-    def build() -> DataFrame:
+    def providers() -> DataFrame:
         scored = add_scores(add_flags(joined_rows(run, tables, asof)))
+        kept = [c for c in dict.fromkeys(needed_columns()) if c in scored.columns and c not in (CCN, "state")]
+        return select_cols(scored.withColumn("provider", provider_key()), ["provider", *kept])
+
+    def build() -> DataFrame:
+        area = service_rows(run, tables).withColumn("provider", provider_key())
+        scored = lookup_join(area, run.base("scored_providers", providers), ["provider"])
         scored = scored.withColumn("row_id", F.monotonically_increasing_id())
         kept = [c for c in dict.fromkeys(needed_columns()) if c in scored.columns]
         return select_cols(scored, kept)
