@@ -90,8 +90,10 @@ def total(col: Column | str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
-def share(flag: str) -> Column:
-    """Share of rows with the 0/1 flag set; a NULL flag is not set."""
+def share(flag: str, weight: str | None = None) -> Column:
+    """Share of rows with the 0/1 flag set; a NULL flag is not set. A row counts as often as its ``weight`` says."""
+    if weight:
+        return F.try_divide(total(quoted(flag) * quoted(weight)), F.sum(quoted(weight)))
     return F.try_divide(total(flag), F.count(F.lit(1)))
 
 

@@ -11,7 +11,10 @@ are one row of the index, however many rows share the value.
 
 Lag cuts the rows themselves into sorted segments and exchanges their edges.
 
-There is one way for all sizes. Segments are as many as the session's shuffle partitions.
+Segments are as many as the session's shuffle partitions. An index of few values, measured
+once it is written, becomes one short list for each group and measure, which goes to
+the rows that look their ranks up (percentages and other small scales do); of any other
+index and its rows both are shuffled. A ``weight`` column says how many equal rows one stands for.
 """
 
 from __future__ import annotations
@@ -23,12 +26,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradewell.operators.columns import all_present, quoted
+from gradewell.operators.columns import all_present, quoted, select_cols
 from gradewell.operators.groups import group_stats
 from gradewell.operators.joins import lookup_join
 from gradewell.operators.spread import Chain, counted_directory, tasks
 from gradewell.session import pin
 
+# Session settings and their defaults: the most rows of an index that is sent to every task,
+# and the most values of a group and measure in it, as a row looks through its list.
+LISTED_ROWS = ("spark.gradewell.maxListedRows", 1_000_000)
+LISTED_VALUES = ("spark.gradewell.maxListedValues", 256)
+
 
 def attach_pct_rank(
     df: DataFrame,
@@ -84,29 +92,88 @@ def rank_rows(
     measures: Mapping[str, str],
     rounded: bool = True,
     min_size: tuple[str, int] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Percent ranks of many measures at once within one kind of group; see ``rank_groups``."""
-    return rank_groups(df, row_key, [Ranking(keys, measures, min_size)], rounded)
+    return rank_groups(df, row_key, [Ranking(keys, measures, min_size)], rounded, weight=weight)
 
 
 def rank_groups(
-    df: DataFrame, row_key: str, rankings: Sequence[Ranking], rounded: bool = True
+    df: DataFrame,
+    row_key: str,
+    rankings: Sequence[Ranking],
+    rounded: bool = True,
+    source: DataFrame | None = None,
+    weight: str | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Percent ranks of many measures within several kinds of groups: ``row_key`` and one column per rank.
 
     The rows are turned to (group, measure, value), whatever the kind of group, so all
-    rankings share one pass, one index and one join. Only ranked rows appear; join the
-    result to ``df`` by the key. Build rankings from one table rather than from each
-    other's results.
+    rankings share one pass and one index. Only ranked rows appear; join the result to
+    ``df`` by the key, or name the columns to ``keep``, which come with every row of ``df``.
+    Build rankings from one table rather than from each other's results.
+    ``source`` holds the rows to rank among where those are more than the rows of ``df``;
+    ``weight`` is its column with the number of rows that each one stands for.
     """
+    source = df if source is None else source
     entries = [Entry(r.keys, m, r.gate()) for r in rankings for m in r.measures.values()]
     names = [new for r in rankings for new in r.measures]
-    long = long_values(df, entries, row_key)
-    group, values = group_columns(entries), value_names(df, entries)
-    index = pin(order_index(long, group, values))
-    on = [*group, *values]
+    group, values = group_columns(entries), value_names(source, entries)
+    long = long_values(source, entries, *([weight] if weight else []))
+    index = pin(order_index(long, group, values, weight))
+    if is_short(index, group):
+        ranked = listed_ranks(df, [row_key, *(keep or [])], entries, names, index, rounded)
+        return ranked if keep is not None else ranked.where(F.coalesce(*[quoted(n) for n in names]).isNotNull())
+    ranked = shuffled_ranks(df, row_key, entries, names, index, rounded)
+    return ranked if keep is None else select_cols(df, [row_key, *keep]).join(ranked, row_key, "left")
+
+
+def is_short(index: DataFrame, group: Sequence[str]) -> bool:
+    """Whether the index fits into lists that every task holds and a row looks through."""
+    lists = index.groupBy(*[quoted(c) for c in group]).agg(F.count(F.lit(1)).alias("values"))
+    found = lists.agg(F.sum("values").alias("rows"), F.max("values").alias("longest")).first()
+    rows, longest = (int(index.sparkSession.conf.get(k, str(n))) for k, n in (LISTED_ROWS, LISTED_VALUES))
+    return (found["rows"] or 0) <= rows and (found["longest"] or 0) <= longest
+
+
+def listed_ranks(
+    df: DataFrame, kept: Sequence[str], entries: Sequence[Entry], names: Sequence[str], index: DataFrame, rounded: bool
+) -> DataFrame:
+    """Ranks from a short index: each group's values and percents as lists, joined to the rows where these stand."""
+    places = value_columns(df, [e.measure for e in entries])
+    by_keys: dict[tuple[str, ...], list[int]] = {}
+    for i, e in enumerate(entries):
+        by_keys.setdefault(tuple(e.keys), []).append(i)
+    columns = [*kept, *group_columns(entries)[:-1], *[e.measure for e in entries]]
+    looked = select_cols(df.withColumns({f"__gate{i}": e.gate for i, e in enumerate(entries)}), [*columns, *[f"__gate{i}" for i in range(len(entries))]])
+    pct = F.bround(percent(), 0) if rounded else percent()
+    for keys, numbers in by_keys.items():
+        lists = {
+            f"__l{i}": F.collect_list(
+                F.when(F.col("__measure") == i, F.struct(F.col(places[entries[i].measure]).alias("v"), pct.alias("p")))
+            )
+            for i in numbers
+        }
+        groups = group_stats(index.where(F.col("__measure").isin(numbers)), keys, lists)
+        split = {f"__{part}{i}": F.col(f"__l{i}.{part}") for i in numbers for part in "vp"}
+        looked = looked.join(F.broadcast(groups.withColumns(split).drop(*lists)), list(keys), "left")
+
+    def rank(i: int, e: Entry) -> Column:
+        place = F.array_position(f"__v{i}", quoted(e.measure)) - 1
+        return F.when(F.col(f"__gate{i}"), F.get(f"__p{i}", place))
+
+    ranks = [rank(i, e).alias(new) for (i, e), new in zip(enumerate(entries), names)]
+    return looked.select(*[quoted(c) for c in kept], *ranks)
+
+
+def shuffled_ranks(
+    df: DataFrame, row_key: str, entries: Sequence[Entry], names: Sequence[str], index: DataFrame, rounded: bool
+) -> DataFrame:
+    """Ranks from an index of any size: one join of the long rows, which become rows again by their key."""
+    on = [*group_columns(entries), *value_names(df, entries)]
     looked = lookup_join(
-        long,
+        long_values(df, entries, row_key),
         index.select(*[quoted(c) for c in on], percent().alias("__pct")),
         on,
         # Every value has its rank, so this equals an inner join; but only the ranks,
@@ -241,16 +308,18 @@ def filler(kind: T.DataType) -> Column:
 def long_values(df: DataFrame, entries: Sequence[Entry], *more: str) -> DataFrame:
     """One row per known value: keys, the entry's number and the value, the value in its type's column.
 
-    Keys and values of other entries hold fillers, so that rows compare as wholes.
+    Keys and values of other entries hold fillers, so that rows compare as wholes. Keys that
+    all entries have stand beside the list of values and are not repeated in it.
     """
     measures = [e.measure for e in entries]
     places = value_columns(df, measures)
     types = {places[m]: df.schema[m].dataType for m in measures}
     keys = group_columns(entries)[:-1]
+    shared = [k for k in keys if all(k in e.keys for e in entries)]
 
     def one(i: int, e: Entry) -> Column:
         own = [
-            (quoted(k) if k in e.keys else filler(df.schema[k].dataType)).alias(k) for k in keys
+            (quoted(k) if k in e.keys else filler(df.schema[k].dataType)).alias(k) for k in keys if k not in shared
         ]
         values = [
             (quoted(e.measure) if place == places[e.measure] else filler(kind)).alias(place)
@@ -260,7 +329,7 @@ def long_values(df: DataFrame, entries: Sequence[Entry], *more: str) -> DataFram
         return F.struct(*own, F.lit(i).alias("__measure"), known, *values)
 
     listed = F.array(*[one(i, e) for i, e in enumerate(entries)])
-    long = df.select(*[quoted(k) for k in more], F.inline(listed))
+    long = df.select(*[quoted(k) for k in dict.fromkeys([*more, *shared])], F.inline(listed))
     return long.where("__known").drop("__known")
 
 
@@ -270,13 +339,16 @@ def percent() -> Column:
     return mean_rank / F.col("__total") * F.lit(100.0)
 
 
-def order_index(long: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
+def order_index(
+    long: DataFrame, group: Sequence[str], values: Sequence[str], weight: str | None = None
+) -> DataFrame:
     """The order-statistic index of ``long_values``.
 
     Columns: the group's, the values', ``__n`` (rows with this value), ``__below`` (rows of
-    the group with a smaller one), ``__total`` (rows of the group).
+    the group with a smaller one), ``__total`` (rows of the group). A row counts as often as its ``weight`` says.
     """
-    counted = long.groupBy(*[quoted(c) for c in [*group, *values]]).agg(F.count(F.lit(1)).alias("__n"))
+    rows = F.sum(quoted(weight)) if weight else F.count(F.lit(1))
+    counted = long.groupBy(*[quoted(c) for c in [*group, *values]]).agg(rows.alias("__n"))
     names, order = [quoted(c) for c in group], [quoted(c) for c in values]
     segments = sorted_segments(counted, [*names, *order])
     piece = Window.partitionBy("__seg", *names)

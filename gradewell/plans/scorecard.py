@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from gradewell.operators.groups import group_stats, share, total
 from gradewell.operators.joins import lookup_join, star_join
 from gradewell.operators.picks import dedup
 from gradewell.operators.ranks import Ranking, rank_groups, rank_rows
+from gradewell.operators.spread import counted_directory
 from gradewell.plans.allegations import latest_allegations
 from gradewell.plans.certifications import latest_certifications
 from gradewell.plans.deficiencies import deficiency_rows, deficiency_summary
@@ -157,6 +158,12 @@ def service_rows(run: Run, tables: Mapping[str, DataFrame]) -> DataFrame:
     return run.base("service_area", lambda: service_area(tables["provider_zips"], tables["zip_county"]))
 
 
+def served_providers(run: Run, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The providers and states of the service area with ``served``, the number of their counties; a base of the run."""
+    area = service_rows(run, tables)
+    return run.base("providers", lambda: area.groupBy(CCN, "state").agg(F.count(F.lit(1)).alias("served")))
+
+
 def joined_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
     """Each provider and state of the service area with all provider tables joined, each a base of the run.
 
@@ -167,7 +174,6 @@ def joined_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str)
     def by_id(df: DataFrame) -> DataFrame:
         return rename(df, {"PRVDR_NUM": CCN})
 
-    area = service_rows(run, tables)
     certified = run.base("certifications", lambda: by_id(latest_certifications(tables["certifications"])))
     benchmark = run.base(
         "state_benchmark",
@@ -179,9 +185,8 @@ def joined_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str)
     allegations = run.base(
         "allegations", lambda: by_id(latest_allegations(tables["complaint_details"], asof))
     )
-    providers = run.base("providers", lambda: area.select(CCN, "state").distinct())
     return star_join(
-        providers,
+        served_providers(run, tables).select(CCN, "state"),
         [
             (certified, [CCN]),
             (benchmark.withColumn("state", F.col("STATE_ABBREV")), ["state"]),
@@ -249,81 +254,120 @@ def add_scores(df: DataFrame, outcomes: Mapping[str, Outcome] = OUTCOMES) -> Dat
     return df
 
 
-def state_stats(scored: DataFrame) -> DataFrame:
-    """Medians, sums and shares per state. Rows count per served county, as the table has them."""
+def state_stats(values: DataFrame) -> DataFrame:
+    """Medians, sums and shares per state. Providers count once per served county, as the table has them."""
     # An estimate takes at most nine values, so the medians' value maps stay small.
     return group_stats(
-        scored,
+        values,
         ["state"],
         {
-            **{f"oe_{o}_state_median": F.median(f"oe_{o}_estimate") for o in OUTCOMES},
-            **{f"{name}_sum": total(flag) for name, flag in SHARES.items()},
-            **{f"{name}_state_mean": share(flag) for name, flag in SHARES.items()},
+            **{
+                f"oe_{o}_state_median": F.percentile(f"oe_{o}_estimate", F.lit(0.5), F.col("served"))
+                for o in OUTCOMES
+            },
+            **{f"{name}_sum": total(quoted(flag) * F.col("served")) for name, flag in SHARES.items()},
+            **{f"{name}_state_mean": share(flag, "served") for name, flag in SHARES.items()},
         },
     )
 
 
-def county_stats(graded: DataFrame) -> DataFrame:
-    """Shares and patient-survey means per county."""
+def county_stats(kept: DataFrame) -> DataFrame:
+    """Shares and patient-survey means per county, and its number of rows."""
     return group_stats(
-        graded,
+        kept,
         ["County_ID"],
         {
             **{f"{name}_county_mean": share(flag) for name, flag in SHARES.items()},
             **{f"{flag.removesuffix('_binary')}_mean": F.avg(flag) for flag in SURVEY_FLAGS},
+            "__rows": F.count(F.lit(1)),
         },
     )
 
 
-def grade_rows(run: Run, scored: DataFrame) -> DataFrame:
-    """Ranks and letters by ``row_id``, on the columns they need instead of the whole rows.
+def provider_values(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+    """What ranks and statistics need of each scored provider, a base of the run.
 
-    State ranks use all rows and county ranks those of counties with at least 40
-    providers. Of these one row per county and provider is kept, and the score
-    differences of the kept rows are ranked within the state and become letters.
+    Where a source names a provider twice, all its rows have a place in the ranks, but
+    only the first is ``kept`` for the table. The row number only parts rows that are equal in all
+    that goes before it in the order. As every county of a provider has the same rows,
+    the choice is made once per provider and state.
     """
     flags = [*SHARES.values(), *SURVEY_FLAGS, *[spec.small_flag for spec in OUTCOMES.values()]]
     scores = [c for o in OUTCOMES for c in (f"pred_{o}_diff", f"oe_{o}_estimate")]
-    first = ["CRTFCTN_DT", "provider_name", "address", "zip_code"]
-    kept_columns = select_cols(
-        scored, ["state", "County_ID", CCN, *first, *flags, *scores, "row_id"]
-    )
-    # The row number only parts rows that are equal in all that is kept of them.
-    order = [*first, *dict.fromkeys([*flags, *scores]), "row_id"]
+    first = ["CRTFCTN_DT", "provider_name", "address"]
+    providers = scored_providers(run, tables, asof)
+
+    def present(names: Sequence[str]) -> list[str]:
+        return [c for c in dict.fromkeys(names) if c in providers.columns]
+
+    order = present([*first, *flags, *scores, "provider_id"])
     kept = run.base(
-        "kept", lambda: dedup(kept_columns, ["County_ID", CCN], order).drop(CCN, *first)
-    )
-    by_group = [
-        Ranking(["state"], {m.state_rank: m.name for m in MEASURES}),
-        Ranking(
-            ["County_ID"], {m.county_rank: m.name for m in MEASURES}, ("County_count", MIN_COUNTY)
-        ),
-    ]
-    ranks = [
-        rank_groups(scored, "row_id", by_group),
-        rank_rows(
-            kept,
-            "row_id",
-            ["state"],
-            {spec.percentile: f"pred_{o}_diff" for o, spec in OUTCOMES.items()},
-            rounded=False,
+        "kept",
+        lambda: dedup(select_cols(providers, ["provider", *order]), ["provider"], order).select(
+            "provider_id", F.lit(True).alias("kept")
         ),
-    ]
-    graded = kept
-    for columns in ranks:
-        graded = graded.join(columns, "row_id", "left")
+    )
+
+    def build() -> DataFrame:
+        columns = present(["provider", "provider_id", *flags, *scores, *[m.name for m in MEASURES]])
+        served = served_providers(run, tables).select(provider_key().alias("provider"), "served")
+        values = lookup_join(select_cols(providers, columns), served, ["provider"])
+        values = values.join(kept, "provider_id", "left").withColumn("state", F.col("provider.state"))
+        return values.withColumn("kept", F.col("kept").isNotNull())
+
+    return run.base("provider_values", build)
+
+
+def grade_rows(values: DataFrame) -> DataFrame:
+    """State ranks, percentiles and letters of the kept providers, by ``provider_id``.
+
+    State ranks use all rows of the table, of which a provider has one for each county. The
+    score differences of the kept rows are ranked within the state and become letters.
+    """
+    flags = [spec.small_flag for spec in OUTCOMES.values()]
+    estimates = [f"oe_{o}_estimate" for o in OUTCOMES]
+    kept = values.where("kept")
+    graded = rank_groups(
+        kept,
+        "provider_id",
+        [Ranking(["state"], {m.state_rank: m.name for m in MEASURES})],
+        source=values,
+        weight="served",
+        keep=["state", "served", *flags, *estimates],
+    )
+    percentiles = rank_rows(
+        kept,
+        "provider_id",
+        ["state"],
+        {spec.percentile: f"pred_{o}_diff" for o, spec in OUTCOMES.items()},
+        rounded=False,
+        weight="served",
+    )
     letters = {
         spec.letter: scoring.clamp_letter(scoring.letter_grade(spec.percentile), spec.small_flag)
         for spec in OUTCOMES.values()
     }
-    return derive(graded, letters)
+    return derive(graded.join(percentiles, "provider_id", "left"), letters)
+
+
+def rank_counties(scored: DataFrame) -> DataFrame:
+    """Each row of the table, which has the kept ones, with its ranks in counties of at least 40 providers."""
+    ranking = Ranking(
+        ["County_ID"], {m.county_rank: m.name for m in MEASURES}, ("County_count", MIN_COUNTY)
+    )
+    columns = ["provider_id", "County_ID", "County_count", "county", "zip_code"]
+    return rank_groups(scored.where("kept"), "row_id", [ranking], source=scored, keep=columns)
 
 
-def letter_means(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+def letter_means(
+    df: DataFrame, pairs: Mapping[str, tuple[str, str]], weight: str | None = None
+) -> DataFrame:
     """One row: for each ``{name: (letter, value)}`` a map of the value's mean by letter.
 
-    One grouped mean over (number of the pair, letter), with at most six letters each.
+    One grouped mean over (number of the pair, letter), with at most six letters each. A
+    row counts as often as its ``weight`` says.
     """
+    rows = quoted(weight) if weight else F.lit(1)
     listed = F.array(
         *[
             F.struct(
@@ -334,8 +378,9 @@ def letter_means(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFra
             for i, (letter, value) in enumerate(pairs.values())
         ]
     )
-    long = df.select(F.inline(listed)).where(F.col("letter").isin(*scoring.ALL_LETTERS))
-    means = group_stats(long, ["pair", "letter"], {"mean": F.avg("value")})
+    long = df.select(rows.alias("rows"), F.inline(listed)).where(F.col("letter").isin(*scoring.ALL_LETTERS))
+    weighed = F.try_divide(F.sum(F.col("value") * F.col("rows")), F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))))
+    means = group_stats(long, ["pair", "letter"], {"mean": weighed if weight else F.avg("value")})
     entry = F.struct("letter", "mean")
     return means.agg(
         *[
@@ -346,13 +391,16 @@ def letter_means(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFra
 
 
 def attach_letter_means(
-    df: DataFrame, pairs: Mapping[str, tuple[str, str]], source: DataFrame | None = None
+    df: DataFrame,
+    pairs: Mapping[str, tuple[str, str]],
+    source: DataFrame | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Every row with the national mean of its letter, for each pair.
 
     The means are a scalar subquery: one row of small maps, and no join.
     """
-    means = letter_means(df if source is None else source, pairs)
+    means = letter_means(df if source is None else source, pairs, weight)
     row = means.select(F.struct(*pairs)).scalar()
     found = {
         name: F.try_element_at(F.col("__means")[name], F.col(letter))
@@ -368,19 +416,17 @@ def add_rates(df: DataFrame, graded: DataFrame) -> DataFrame:
     for o, spec in OUTCOMES.items():
         rates[f"{spec.rates}_comp_rate"] = F.col(f"__mean_{o}") * F.lit(spec.letter_base)
         rates[f"{spec.rates}_state_rate"] = F.col(f"oe_{o}_state_median") * F.lit(spec.state_base)
-    return derive(attach_letter_means(df, pairs, graded), rates).drop(*pairs)
+    return derive(attach_letter_means(df, pairs, graded, "served"), rates).drop(*pairs)
 
 
-def add_published_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
+def add_provider_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
+    """Published texts that depend on the provider and state alone."""
     answers = {name: yes_no(col, "NOT PROVIDED") for name, col in SERVICE_ANSWERS.items()}
     texts = {
         "Ownership_Type": decode_contains("type_of_ownership", OWNERSHIP, "N/A"),
-        "qm_urgent_care_no_hosp_rank": scoring.letter_grade("qm_urgent_care_norehosp_county_ptile"),
-        "qm_hosp_admit_ptile_rank": scoring.letter_grade("qm_admit_hosp_county_ptile"),
         "qm_pac_urgent_care_no_hosp_rank": decode(quoted(EMERGENCY_HEADER), COMPARISONS, "N/A"),
         "qm_pac_hosp_admitt_rank": decode(quoted(READMITTED_HEADER), COMPARISONS, "N/A"),
         "CMS_ID": F.concat(F.lit("'"), F.col(CCN)),
-        "Ecosystem_Name": F.col("County_ID"),
         "address": F.upper(swap("address", ",", " ")),
         "city": F.upper("city"),
         "State_Srv": F.col("STATE_ABBREV"),
@@ -401,6 +447,16 @@ def add_published_text(df: DataFrame, asof: dt.date | str) -> DataFrame:
     return fill_defaults(require(derive(df, {**answers, **texts}), ["state"]), filled)
 
 
+def add_county_text(df: DataFrame) -> DataFrame:
+    """Published texts that depend on the county."""
+    texts = {
+        "qm_urgent_care_no_hosp_rank": scoring.letter_grade("qm_urgent_care_norehosp_county_ptile"),
+        "qm_hosp_admit_ptile_rank": scoring.letter_grade("qm_admit_hosp_county_ptile"),
+        "Ecosystem_Name": F.col("County_ID"),
+    }
+    return derive(df, texts)
+
+
 def needed_columns() -> list[str]:
     """Scored columns that the statistics and the extracts use; other flags are not stored."""
     made_later = {m.state_rank for m in MEASURES} | {m.county_rank for m in MEASURES}
@@ -421,49 +477,75 @@ def needed_columns() -> list[str]:
     ]
 
 
-def score_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
-    """Joined, flagged and scored rows, a base of the run with a row number.
+def scored_providers(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+    """Joined, flagged and scored rows of each provider and state, a base of the run with a row number.
 
-    Flags and scores are made once per provider and state and then joined to its counties.
     The number is only written down once, so it means the same row to all readers.
     """
 
-    def providers() -> DataFrame:
+    def build() -> DataFrame:
         scored = add_scores(add_flags(joined_rows(run, tables, asof)))
         kept = [c for c in dict.fromkeys(needed_columns()) if c in scored.columns and c not in (CCN, "state")]
-        return select_cols(scored.withColumn("provider", provider_key()), ["provider", *kept])
+        named = scored.withColumns({"provider": provider_key(), "provider_id": F.monotonically_increasing_id()})
+        return select_cols(named, ["provider", "provider_id", *kept])
+
+    return run.base("scored_providers", build)
+
+
+def score_rows(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str) -> DataFrame:
+    """The rows of the table, a base of the run with a row number: every county of each scored provider.
+
+    Flags and scores are made once per provider and state and then joined to its counties;
+    here are those that ranks and statistics need. The wide rest waits for the last join.
+    """
 
     def build() -> DataFrame:
         area = service_rows(run, tables).withColumn("provider", provider_key())
-        scored = lookup_join(area, run.base("scored_providers", providers), ["provider"])
-        scored = scored.withColumn("row_id", F.monotonically_increasing_id())
-        kept = [c for c in dict.fromkeys(needed_columns()) if c in scored.columns]
-        return select_cols(scored, kept)
+        values = provider_values(run, tables, asof)
+        not_used = [c for o, spec in OUTCOMES.items() for c in (f"pred_{o}_diff", spec.small_flag)]
+        scored = lookup_join(area, values.drop("state", "served", *not_used), ["provider"]).drop("provider")
+        return scored.withColumn("row_id", F.monotonically_increasing_id())
 
     return run.base("scored", build)
 
 
+def published_providers(
+    run: Run, tables: Mapping[str, DataFrame], asof: dt.date | str, values: DataFrame
+) -> DataFrame:
+    """All that is published of the kept providers and does not depend on the county, a base of the run."""
+    graded = run.base("graded", lambda: grade_rows(values))
+    states = run.base("state_stats", lambda: state_stats(values))
+    ranks = [m.state_rank for m in MEASURES]
+    letters = [spec.letter for spec in OUTCOMES.values()]
+
+    def build() -> DataFrame:
+        grades = select_cols(graded, ["provider_id", "state", *ranks, *letters])
+        grades = add_rates(lookup_join(grades, states, ["state"]), graded).drop("state")
+        providers = scored_providers(run, tables, asof).withColumns(
+            {CCN: F.col(f"provider.{CCN}"), "state": F.col("provider.state")}
+        )
+        rows = scale(providers, [m.name for m in MEASURES], 100).drop("provider").join(grades, "provider_id")
+        return add_provider_text(rows, asof)
+
+    return run.base("published_providers", build)
+
+
 def full_table(
     tables: Mapping[str, DataFrame], asof: dt.date | str, run: Run | None = None
 ) -> DataFrame:
     """Every stored column of the scorecard.
 
-    The provider tables, the scored rows and their grades are bases of the run.
-    Statistics and rates join the grades, which are a third as wide; the scored rows
-    are joined once. Without a run of the caller's the bases stay in the shared folder.
+    All that depends on the provider and state alone is made once for these; only the county ranks
+    and shares are made on the rows of the table, which are narrow until the last join.
+    Without a run of the caller's the bases stay in the shared folder.
     """
     run = run or Run(next(iter(tables.values())).sparkSession)
     scored = score_rows(run, tables, asof)
-    graded = run.base("graded", lambda: grade_rows(run, scored))
-    ranks = [c for m in MEASURES for c in (m.state_rank, m.county_rank)]
-    letters = [spec.letter for spec in OUTCOMES.values()]
-    grades = select_cols(graded, ["row_id", "state", "County_ID", *ranks, *letters])
-    states = run.base("state_stats", lambda: state_stats(scored))
-    counties = run.base("county_stats", lambda: county_stats(graded))
-    grades = star_join(grades, [(states, ["state"]), (counties, ["County_ID"])])
-    grades = add_rates(grades, graded).drop("state", "County_ID")
-    rows = scale(scored, [m.name for m in MEASURES], 100).join(grades, "row_id")
-    return add_published_text(rows, asof)
+    providers = published_providers(run, tables, asof, provider_values(run, tables, asof))
+    counties = run.base("county_stats", lambda: county_stats(scored.where("kept")))
+    hot = counted_directory(counties, ["County_ID"], "__rows")
+    rows = lookup_join(rank_counties(scored), counties.drop("__rows"), ["County_ID"], "left", hot)
+    return add_county_text(rows.join(providers, "provider_id").drop("provider_id"))
 
 
 def published(full: DataFrame, columns: list[str]) -> DataFrame:

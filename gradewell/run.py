@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradewell.session import shared_folder
+from gradewell.session import METHOD_LIMIT, shared_folder
 
 
 class Run:
@@ -24,6 +24,8 @@ class Run:
         self.spark = spark
         self.database = f"run_{uuid.uuid4().hex}"
         self.names: list[str] = []
+        # The jobs of a run have wide rows. The session keeps the limit, as results are read after it.
+        spark.conf.set(*METHOD_LIMIT)
         spark.sql(f"CREATE DATABASE {self.database} LOCATION '{shared_folder(spark)}/{self.database}'")
 
     def base(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -6,6 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# HotSpot never compiles a method above 8,000 bytes, so one that Spark generates for many columns
+# would be interpreted row by row. Above this limit Spark runs the operators one by one instead.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +18,7 @@ SETTINGS = {
     # Compared with the size AQE measured for a finished stage, not with an estimate.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    METHOD_LIMIT[0]: METHOD_LIMIT[1],
 }
 
 

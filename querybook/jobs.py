@@ -14,14 +14,22 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
+def six_places(c):
+    """``round(c, 6)`` of a double. Its decimal arithmetic is needed only near a tie and for large numbers."""
+    millions = c * F.lit(1e6)
+    clear = (F.abs(c) < 1e6) & (F.abs(millions - F.floor(millions) - 0.5) > 0.01)
+    return F.when(clear, F.rint(millions) / F.lit(1e6) + F.lit(0.0)).otherwise(F.round(c, 6))
+
+
 def comparable(df):
     """Dates as text; numbers as doubles with six places, so NULLs need no own type."""
-    numeric = (T.DoubleType, T.LongType, T.IntegerType)
 
     def shown(field):
         c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, numeric):
-            c = F.round(c.cast("double"), 6)
+        if isinstance(field.dataType, (T.LongType, T.IntegerType)):
+            c = c.cast("double")
+        elif isinstance(field.dataType, T.DoubleType):
+            c = six_places(c)
         elif isinstance(field.dataType, T.DateType):
             c = iso(c)
         return c.alias(field.name)
