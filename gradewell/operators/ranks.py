@@ -124,7 +124,11 @@ def rank_groups(
     index = pin(order_index(long, group, values, weight))
     if is_short(index, group):
         ranked = listed_ranks(df, [row_key, *(keep or [])], entries, names, index, rounded)
-        return ranked if keep is not None else ranked.where(F.coalesce(*[quoted(n) for n in names]).isNotNull())
+        if keep is not None:
+            return ranked
+        some = ranked.where(F.coalesce(*[quoted(n) for n in names]).isNotNull())
+        # A key that repeats is one row, as it is after a shuffle of the long rows.
+        return some.groupBy(quoted(row_key)).agg(*[F.max(quoted(n)).alias(n) for n in names])
     ranked = shuffled_ranks(df, row_key, entries, names, index, rounded)
     return ranked if keep is None else select_cols(df, [row_key, *keep]).join(ranked, row_key, "left")
 

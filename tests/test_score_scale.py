@@ -68,8 +68,17 @@ def test_some_rows_rank_among_all_and_keep_their_columns(spark, values):
         assert got == {i: r for i, r in want.items() if i % 5 == 0}
 
 
+def test_a_row_key_that_repeats_is_one_row(spark, values):
+    twice = values.union(values.where("id % 4 = 0")).withColumn("id", F.when(F.col("id") != 5, F.col("id")))
+    rankings = [ranks.Ranking(["k"], {"r": "m0", "s": "m1"})]
+    listed, shuffled = ways(spark, lambda: ranks.rank_groups(twice, "id", rankings))
+    assert listed.count() == listed.select("id").distinct().count()
+    assert found(listed, "id", "r", "s") == found(shuffled, "id", "r", "s") != []
+
+
 def test_rows_stay_where_they_are_for_a_short_index(spark, values):
-    ranked = ranks.rank_groups(values, "id", [ranks.Ranking(["k"], {f"r{i}": f"m{i}" for i in range(3)})])
+    rankings = [ranks.Ranking(["k"], {f"r{i}": f"m{i}" for i in range(3)})]
+    ranked = ranks.rank_groups(values, "id", rankings, keep=["letter"])
     tree = plan(ranked).split("\n\n")[0]
     assert "Generate" not in tree and "SortMergeJoin" not in tree and tree.count("BroadcastHashJoin") == 1
 
