@@ -301,14 +301,11 @@ def provider_values(run: Run, tables: Mapping[str, DataFrame], asof: dt.date | s
         return [c for c in dict.fromkeys(names) if c in providers.columns]
 
     order = present([*first, *flags, *scores, "provider_id"])
-    kept = run.base(
-        "kept",
-        lambda: dedup(select_cols(providers, ["provider", *order]), ["provider"], order).select(
-            "provider_id", F.lit(True).alias("kept")
-        ),
-    )
 
     def build() -> DataFrame:
+        kept = dedup(select_cols(providers, ["provider", *order]), ["provider"], order).select(
+            "provider_id", F.lit(True).alias("kept")
+        )
         columns = present(["provider", "provider_id", *flags, *scores, *[m.name for m in MEASURES]])
         served = served_providers(run, tables).select(provider_key().alias("provider"), "served")
         values = lookup_join(select_cols(providers, columns), served, ["provider"])
@@ -514,13 +511,12 @@ def published_providers(
 ) -> DataFrame:
     """All that is published of the kept providers and does not depend on the county, a base of the run."""
     graded = run.base("graded", lambda: grade_rows(values))
-    states = run.base("state_stats", lambda: state_stats(values))
     ranks = [m.state_rank for m in MEASURES]
     letters = [spec.letter for spec in OUTCOMES.values()]
 
     def build() -> DataFrame:
         grades = select_cols(graded, ["provider_id", "state", *ranks, *letters])
-        grades = add_rates(lookup_join(grades, states, ["state"]), graded).drop("state")
+        grades = add_rates(lookup_join(grades, state_stats(values), ["state"]), graded).drop("state")
         providers = scored_providers(run, tables, asof).withColumns(
             {CCN: F.col(f"provider.{CCN}"), "state": F.col("provider.state")}
         )
